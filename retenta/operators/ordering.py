@@ -61,12 +61,12 @@ def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
     local = F.col("__mono").bitwiseAND(F.lit(_LOCAL_MASK))
     counts = t.groupBy("__pid", *pcols).agg(F.count(F.lit(1)).alias("__n"), F.min(local).alias("__first"))
     w = Window.partitionBy(*pcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", *pcols, "__first",
-                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    joined = t.join(_maybe_broadcast(offsets), ["__pid", *pcols] if not pcols else
-                    [F.col("__pid") == offsets["__pid"]] + [t[c].eqNullSafe(offsets[c]) for c in pcols])
+    offsets = counts.select(F.col("__pid").alias("__opid"), *[F.col(c).alias(f"__g_{c}") for c in pcols],
+                            "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
+    joined = t.join(_maybe_broadcast(offsets), cond)
     rn = (F.col("__off") + local - F.col("__first") + 1).cast("bigint")
-    return joined.select(*[t[c] for c in df.columns], rn.alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], rn.alias(name))
 
 
 def running_sums(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[Column | str],
@@ -83,13 +83,13 @@ def running_sums(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[
     t = _range_sorted(df, keys, num_partitions)
     totals = t.groupBy("__pid", *pcols).agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
     w = Window.partitionBy(*pcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", *pcols, *[
+    offsets = totals.select(F.col("__pid").alias("__opid"), *[F.col(c).alias(f"__g_{c}") for c in pcols], *[
         F.coalesce(F.sum(f"__t_{v}").over(w), F.lit(0)).alias(f"__o_{v}") for v in value_cols])
     # running sum inside each range partition: every window partition is one
     # range partition (bounded by the range size), ordered by its local position
     lw = Window.partitionBy("__pid", *pcols).orderBy("__mono").rowsBetween(Window.unboundedPreceding, 0)
     local = t.select("*", *[F.sum(v).over(lw).alias(f"__l_{v}") for v in value_cols])
-    cond = [local["__pid"] == offsets["__pid"]] + [local[c].eqNullSafe(offsets[c]) for c in pcols]
+    cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
     joined = local.join(_maybe_broadcast(offsets), cond)
-    return joined.select(*[local[c] for c in df.columns],
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                          *[(F.col(f"__o_{v}") + F.col(f"__l_{v}")).alias(f"{v}{suffix}") for v in value_cols])

@@ -32,3 +32,13 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def sql_round(cols, digits: int = 6) -> str:
     return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in cols)
+
+
+def split_tables(spark, sf_dir, mode: str = "exact"):
+    """(train clients, test clients, train requests, test requests, splits)."""
+    from retenta.operators.split import ids_distinct, split_frames, split_ids
+    c, r = clients(spark, sf_dir), requests(spark, sf_dir)
+    s = split_ids(ids_distinct(c), 0.3, 42, mode=mode)
+    tr_c, te_c = split_frames(c, s)
+    tr_r, te_r = split_frames(r, s)
+    return tr_c, te_c, tr_r, te_r, s
