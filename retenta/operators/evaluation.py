@@ -130,13 +130,16 @@ def classification_report(df: DataFrame, label: str, score: str, threshold) -> D
     f0 = _safe_div(2 * tn, 2 * tn + fn + fp)
     s1, s0 = (tp + fn).cast("double"), (tn + fp).cast("double")
     acc = _safe_div(tp + tn, n)
+    def row(name, p, r, f, s):
+        return F.struct(F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1"),
+                        s.cast("double").alias("support"))
     rows = F.array(
-        F.struct(F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"), f0.alias("f1"), s0.alias("support")),
-        F.struct(F.lit("1"), p1, r1, f1, s1),
-        F.struct(F.lit("accuracy"), acc, acc, acc, n.cast("double")),
-        F.struct(F.lit("macro avg"), (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n.cast("double")),
-        F.struct(F.lit("weighted avg"), _safe_div(p0 * s0 + p1 * s1, n), _safe_div(r0 * s0 + r1 * s1, n),
-                 _safe_div(f0 * s0 + f1 * s1, n), n.cast("double")),
+        row("0", p0, r0, f0, s0),
+        row("1", p1, r1, f1, s1),
+        row("accuracy", acc, acc, acc, n),
+        row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
+        row("weighted avg", _safe_div(p0 * s0 + p1 * s1, n), _safe_div(r0 * s0 + r1 * s1, n),
+            _safe_div(f0 * s0 + f1 * s1, n), n),
     )
     return c.select(F.inline(rows))
 
