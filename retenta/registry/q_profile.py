@@ -1 +1,91 @@
-"""placeholder"""
+"""Profiling and lag layout (A10-A14, P21, P22, W9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, LAG_MEASURES
+from retenta.operators.lags import lag_pivot, lag_unpivot, lag_variation, month_lag
+from retenta.operators.profiling import (class_balance, class_weight_balanced, correlation_matrix, null_percent,
+                                         profile_numeric)
+from retenta.registry import register
+from retenta.registry.common import clients, rounded, scores, tables
+from retenta.registry.sql_standins import with_standins
+
+_NUM = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "SDO_ACTIVO_MENOS5", "NRO_ACCES_CANAL1_MENOS0",
+        "NRO_ENTID_SSFF_MENOS0", "FLG_SEGURO_MENOS0"]
+
+
+@register("null_percent", with_standins(
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) "
+                       f"AS null_pct FROM clientes" for c in CLIENT_COLUMNS)))
+def q_null_percent(spark, sf):
+    return rounded(null_percent(clients(spark, sf)))
+
+
+@register("class_balance", with_standins(
+    "SELECT ATTRITION, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM clientes GROUP BY 1"))
+def q_class_balance(spark, sf):
+    return rounded(class_balance(clients(spark, sf), LABEL))
+
+
+@register("class_weight_balanced", with_standins(
+    "SELECT ATTRITION, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight "
+    "FROM clientes GROUP BY 1"))
+def q_class_weight_balanced(spark, sf):
+    return rounded(class_weight_balanced(clients(spark, sf), LABEL))
+
+
+@register("profile_table", with_standins(
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+                       f"round(min(CAST({c} AS DOUBLE)), 6) AS min, round(max(CAST({c} AS DOUBLE)), 6) AS max, "
+                       f"round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std "
+                       f"FROM clientes" for c in _NUM)))
+def q_profile_table(spark, sf):
+    return rounded(profile_numeric(clients(spark, sf), _NUM))
+
+
+_CORR = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "NRO_ENTID_SSFF_MENOS0", "y_prob", "ATTRITION"]
+
+
+@register("correlation_matrix", with_standins(
+    " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST(k.{a} AS DOUBLE), CAST(k.{b} AS DOUBLE)), 6) "
+                       f"AS corr FROM (SELECT c.*, s.y_prob FROM clientes c JOIN scores s USING (ID_CORRELATIVO)) k"
+                       for i, a in enumerate(_CORR) for b in _CORR[i + 1:])))
+def q_correlation_matrix(spark, sf):
+    k = clients(spark, sf).join(scores(spark, sf).select(ID, "y_prob"), ID)
+    return rounded(correlation_matrix(k, _CORR))
+
+
+@register("month_lag_pivot", """
+SELECT o_custkey AS ID_CORRELATIVO, """ + ", ".join(
+    f"CAST(sum(CASE WHEN lag = {i} THEN cents END) AS BIGINT) AS SDO_MENSUAL_MENOS{i}" for i in range(6)) + """
+FROM (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+             24013 - (year(o_orderdate) * 12 + month(o_orderdate) - 1) AS lag FROM orders)
+WHERE lag BETWEEN 0 AND 5 GROUP BY o_custkey""")
+def q_month_lag_pivot(spark, sf):
+    o = tables(spark, sf).orders.select(
+        F.col("o_custkey").alias(ID), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        month_lag("o_orderdate", 200102).alias("lag"))
+    return lag_pivot(o, ID, "lag", "cents", "SDO_MENSUAL")
+
+
+_UNPIVOT_SQL = ("wide AS (SELECT ID_CORRELATIVO, " + ", ".join(
+    f"CAST({m}_MENOS{i} AS DOUBLE) AS {m}_MENOS{i}" for m in LAG_MEASURES for i in range(6)) + " FROM clientes), "
+    "long AS (SELECT ID_CORRELATIVO, regexp_extract(variable, '^(.*)_MENOS([0-9]+)$', 1) AS measure, "
+    "CAST(regexp_extract(variable, '^(.*)_MENOS([0-9]+)$', 2) AS INTEGER) AS lag, value FROM "
+    "wide UNPIVOT INCLUDE NULLS (value FOR variable IN (" + ", ".join(
+        f"{m}_MENOS{i}" for m in LAG_MEASURES for i in range(6)) + ")))")
+
+
+@register("lag_unpivot", with_standins("SELECT * FROM long", _UNPIVOT_SQL))
+def q_lag_unpivot(spark, sf):
+    return lag_unpivot(clients(spark, sf), LAG_MEASURES)
+
+
+@register("lag_based_variation", with_standins(
+    "SELECT ID_CORRELATIVO, measure, lag, value, value - lag(value) OVER w AS mom_change, "
+    "round(avg(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS avg_3m FROM long "
+    "WINDOW w AS (PARTITION BY ID_CORRELATIVO, measure ORDER BY lag DESC)", _UNPIVOT_SQL))
+def q_lag_based_variation(spark, sf):
+    return rounded(lag_variation(lag_unpivot(clients(spark, sf), LAG_MEASURES)))
