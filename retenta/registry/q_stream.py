@@ -1 +1,128 @@
-"""placeholder"""
+"""Streaming jobs run to completion on file sources (ST1-ST5); each is
+checked against the SQL of its batch twin."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from retenta.functions.features import engineer
+from retenta.registry import register
+from retenta.registry.common import clients, requests, rounded, scores
+from retenta.registry.q_publish import MODEL_NAME, RUN_TS, SCORE_SQL
+from retenta.registry.sql_standins import with_standins
+from retenta.session import scratch_path
+from retenta.sources import events as ev
+from retenta.sources.tables import read_table
+from retenta.streaming import jobs
+
+
+def _run_dir(spark, name):
+    return scratch_path(spark, f"stream_{name}_{uuid.uuid4().hex[:8]}")
+
+
+def _events_stream(spark, sf):
+    schema = read_table(spark, sf, "events").schema
+    # a glob, so the file source lists the single events file of the folder
+    return spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parque[t]")
+
+
+def write_event_text(spark, sf, path):
+    ev.to_event_json(clients(spark, sf), requests(spark, sf)).write.mode("overwrite").text(path)
+
+
+_EVENT_FEATURES_SQL = """
+SELECT k.ID_CORRELATIVO, round(e.PROM_SDO_ACTIVO_6M, 6) AS PROM_SDO_ACTIVO_6M,
+       CAST(CASE WHEN r.ID_CORRELATIVO IS NULL THEN 0 ELSE 1 END AS BIGINT) AS total_requerimientos,
+       CAST(CASE WHEN r.TIPO_REQUERIMIENTO2 IS NULL THEN 0 ELSE 1 END AS BIGINT) AS nro_tipos_requerimiento,
+       CAST(CASE WHEN r.ID_CORRELATIVO IS NULL OR r.DICTAMEN IS NULL THEN 0 ELSE 1 END AS BIGINT) AS nro_dictamenes,
+       CAST(CASE WHEN r.PRODUCTO_SERVICIO_2 IS NULL THEN 0 ELSE 1 END AS BIGINT) AS nro_productos_servicios,
+       CAST(CASE WHEN r.SUBMOTIVO_2 IS NULL THEN 0 ELSE 1 END AS BIGINT) AS nro_submotivos
+FROM clientes k JOIN eng e USING (ID_CORRELATIVO)
+LEFT JOIN requerimientos r ON r.ID_CORRELATIVO = k.ID_CORRELATIVO"""
+
+
+def _eng_cte():
+    from retenta.registry.q_features import ENGINEERED_SQL_CTE
+    return ENGINEERED_SQL_CTE
+
+
+@register("stream_event_features", with_standins(_EVENT_FEATURES_SQL, _eng_cte()))
+def q_stream_event_features(spark, sf):
+    """ST1 feature stage: JSON events streamed from files, request aggregates from each event's list."""
+    base = _run_dir(spark, "event_features")
+    write_event_text(spark, sf, f"{base}/in")
+    stream = spark.readStream.schema("value string").text(f"{base}/in")
+    feats = engineer(jobs.event_features(stream))
+    out = feats.select("ID_CORRELATIVO", "PROM_SDO_ACTIVO_6M", "total_requerimientos", "nro_tipos_requerimiento",
+                       "nro_dictamenes", "nro_productos_servicios", "nro_submotivos")
+    jobs.write_append(out, f"{base}/out", f"{base}/ck")
+    return rounded(spark.read.parquet(f"{base}/out"))
+
+
+@register("stream_score_events")
+def q_stream_score_events(spark, sf):
+    """ST1: fit preparation + forest on the training split, then score the event stream."""
+    from retenta.plans import training as T
+    from retenta.plans.prepare import fit_prepare
+    from retenta.registry.common import split_tables
+    tr_c, _, tr_r, _, _ = split_tables(spark, sf)
+    prepared, state = fit_prepare(tr_c, tr_r)
+    model = T.fit(T.random_forest(numTrees=20), T.training_frame(prepared, state.features))
+    base = _run_dir(spark, "score_events")
+    write_event_text(spark, sf, f"{base}/in")
+    stream = spark.readStream.schema("value string").text(f"{base}/in")
+    scored = jobs.score_events(stream, state, model, T.assembler(state.features))
+    jobs.write_append(scored, f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_request_windows", """
+SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_events,
+       count(DISTINCT event_type) AS n_types
+FROM events GROUP BY 1, 2""")
+def q_stream_request_windows(spark, sf):
+    base = _run_dir(spark, "request_windows")
+    jobs.write_batches(jobs.request_windows(_events_stream(spark, sf)), f"{base}/out", f"{base}/ck")
+    return jobs.latest_by_key(spark, f"{base}/out", ["user_id", "window_start"])
+
+
+@register("stream_sliding_activity", """
+WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 432000) AS BIGINT) * 432000 AS s1 FROM events
+           WHERE event_type IN ('click', 'view', 'purchase')),
+w AS (SELECT user_id, s1 AS s FROM e UNION ALL SELECT user_id, s1 - 432000 FROM e)
+SELECT user_id, strftime(make_timestamp(CAST(s AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       count(*) AS n_events FROM w GROUP BY 1, 2""")
+def q_stream_sliding_activity(spark, sf):
+    base = _run_dir(spark, "sliding")
+    jobs.write_batches(jobs.sliding_activity(_events_stream(spark, sf)), f"{base}/out", f"{base}/ck")
+    return jobs.latest_by_key(spark, f"{base}/out", ["user_id", "window_start"])
+
+
+@register("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
+def q_stream_dedup(spark, sf):
+    """Every event is delivered twice (two readers of the same files); replays are dropped."""
+    base = _run_dir(spark, "dedup")
+    twice = _events_stream(spark, sf).unionByName(_events_stream(spark, sf))
+    jobs.write_append(jobs.dedup_events(twice).select("event_id", "user_id", "event_type"),
+                      f"{base}/out", f"{base}/ck")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_monthly_upsert", with_standins(SCORE_SQL))
+def q_stream_monthly_upsert(spark, sf):
+    """Scores arrive as files; each micro-batch replaces its month partition. The month is replayed
+    twice and the table still holds it once."""
+    from retenta.operators.publish import score_table
+    base = _run_dir(spark, "upsert")
+    t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
+    t.write.mode("overwrite").parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    for run in ("a", "b"):
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        jobs.upsert_by_month(stream, f"{base}/table", f"{base}/ck_{run}")
+    return spark.read.parquet(f"{base}/table").select(*t.columns)
+
+
+__all__ = ["F"]
