@@ -8,9 +8,9 @@ with the work spread over range partitions:
    each range partition;
 2. tag rows with their range partition id and their position inside it
    (``monotonically_increasing_id`` after the sort is exactly that);
-3. cut lineage with ``checkpoint()`` into the shared checkpoint folder, so
-   the sampled range bounds are fixed and a lost executor re-reads the
-   checkpoint instead of re-sampling;
+3. cut lineage by writing the tagged rows as a Parquet table in the shared
+   checkpoint folder, so the sampled range bounds are fixed and a lost
+   executor re-reads files instead of re-sampling;
 4. per range partition (and group), count rows / sum values: one small row
    per partition;
 5. prefix-sum those small rows to offsets and add them back.
@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from retenta.session import ensure_checkpoint_dir
+from retenta.session import ensure_checkpoint_dir, materialize
 
 _LOCAL_MASK = (1 << 33) - 1
 # Offsets tables have one row per (range partition, group): broadcast them
@@ -44,10 +44,14 @@ def _range_sorted(df: DataFrame, keys: list[Column], num_partitions: int | None)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mono"))
-    return tagged.checkpoint(eager=True)
+    return materialize(tagged, "range-sorted")
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
+def _maybe_broadcast(df: DataFrame, grouped: bool) -> DataFrame:
+    """Without groups the offsets have one row per range partition (a bound
+    known from the plan); with groups their size is checked first."""
+    if not grouped:
+        return F.broadcast(df)
     return F.broadcast(df) if df.count() <= OFFSETS_BROADCAST_ROWS else df
 
 
@@ -64,7 +68,7 @@ def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
     offsets = counts.select(F.col("__pid").alias("__opid"), *[F.col(c).alias(f"__g_{c}") for c in pcols],
                             "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
     cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
-    joined = t.join(_maybe_broadcast(offsets), cond)
+    joined = t.join(_maybe_broadcast(offsets, bool(pcols)), cond)
     rn = (F.col("__off") + local - F.col("__first") + 1).cast("bigint")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], rn.alias(name))
 
@@ -90,6 +94,6 @@ def running_sums(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[
     lw = Window.partitionBy("__pid", *pcols).orderBy("__mono").rowsBetween(Window.unboundedPreceding, 0)
     local = t.select("*", *[F.sum(v).over(lw).alias(f"__l_{v}") for v in value_cols])
     cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
-    joined = local.join(_maybe_broadcast(offsets), cond)
+    joined = local.join(_maybe_broadcast(offsets, bool(pcols)), cond)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                          *[(F.col(f"__o_{v}") + F.col(f"__l_{v}")).alias(f"{v}{suffix}") for v in value_cols])

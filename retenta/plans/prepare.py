@@ -25,6 +25,7 @@ from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, r
 from retenta.operators.imputation import CLIENT_IMPUTATION, REQUEST_IMPUTATION, apply_imputation, fit_imputation
 from retenta.operators.requests import categories_dict, learn_categories, request_profile
 from retenta.operators.scaling import NOT_SCALED, apply_standardizer, feature_columns, fit_standardizer
+from retenta.session import materialize
 
 
 @dataclass
@@ -77,17 +78,26 @@ def build_unscaled(clients: DataFrame, reqs: DataFrame, params: DataFrame, encod
 
 
 def fit_prepare(clients: DataFrame, reqs: DataFrame, join_how: str = "left",
-                with_pivot_counts: bool = False) -> tuple[DataFrame, PreparedState]:
-    params = fit_imputation(clean_clients(clients), clean_requests(reqs))
+                with_pivot_counts: bool = False, persist: bool = True) -> tuple[DataFrame, PreparedState]:
+    """Fit on training rows. With ``persist`` (the default) each fitted table
+    and the unscaled training matrix are written once to the shared
+    checkpoint folder: later steps read a few stored rows instead of
+    re-deriving the training chain inside every broadcast."""
+    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
+    params = keep(fit_imputation(clean_clients(clients), clean_requests(reqs)), "state-imputation")
     cat_table = None
     categories = None
     if with_pivot_counts:
         _, r_imp = _impute(clean_clients(clients), clean_requests(reqs), params)
-        cat_table = learn_categories(r_imp)
+        cat_table = keep(learn_categories(r_imp), "state-categories")
         categories = categories_dict(cat_table)
-    joined, encoder, _ = build_unscaled(clients, reqs, params, None, categories, join_how)
+    c, _ = _impute(clean_clients(clients), clean_requests(reqs), params)
+    c = recode(engineer(c))
+    encoder = keep(fit_label_encoder(c, string_columns(c)), "state-encoding")
+    joined, _, _ = build_unscaled(clients, reqs, params, encoder, categories, join_how)
+    joined = keep(joined, "train-unscaled")
     features = feature_columns(joined.columns)
-    moments = fit_standardizer(joined, features)
+    moments = keep(fit_standardizer(joined, features), "state-moments")
     prepared = apply_standardizer(joined, moments, features)
     return prepared, PreparedState(params, encoder, cat_table, moments, features, join_how)
 

@@ -34,10 +34,17 @@ def sql_round(cols, digits: int = 6) -> str:
     return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in cols)
 
 
+def pulled(spark, sf_dir):
+    """The pulled client snapshot and request log, materialized once into the
+    shared checkpoint folder: the fitting steps read them several times."""
+    from retenta.session import materialize
+    return materialize(clients(spark, sf_dir), "clients"), materialize(requests(spark, sf_dir), "requests")
+
+
 def split_tables(spark, sf_dir, mode: str = "exact"):
     """(train clients, test clients, train requests, test requests, splits)."""
     from retenta.operators.split import ids_distinct, split_frames, split_ids
-    c, r = clients(spark, sf_dir), requests(spark, sf_dir)
+    c, r = pulled(spark, sf_dir)
     s = split_ids(ids_distinct(c), 0.3, 42, mode=mode)
     tr_c, te_c = split_frames(c, s)
     tr_r, te_r = split_frames(r, s)

@@ -61,3 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
+    folder and read it back. Computed once (unlike an eager RDD checkpoint,
+    which runs the plan for the count and again for the write); a lost
+    executor re-reads files instead of recomputing joins and shuffles."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
