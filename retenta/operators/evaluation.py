@@ -65,8 +65,9 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (
     d = "decimal(38,0)"
     twice = (2 * (F.col("pos_cum") - F.col("pos")).cast(d) + F.col("pos").cast(d)) * F.col("neg").cast(d)
     agg = cum.groupBy(*g).agg(F.sum(twice).alias("num2"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return agg.select(*g, (F.col("num2").cast("double")
-                           / (2.0 * F.col("P").cast("double") * F.col("N").cast("double"))).alias("auc"))
+    # single-class input has no ROC: null
+    return agg.select(*g, F.try_divide(F.col("num2").cast("double"),
+                                       2.0 * F.col("P").cast("double") * F.col("N").cast("double")).alias("auc"))
 
 
 def log_loss(df: DataFrame, label: str, score: str, eps: float = FLOAT64_EPS,
