@@ -98,3 +98,24 @@ def q_sink_raw_scored(spark, sf):
 
 
 __all__ = ["MONTH"]
+
+
+@register("sink_scores_month", with_standins(SCORE_SQL))
+def q_sink_scores_month(spark, sf):
+    """IO9: the month is written twice with dynamic partition overwrite; the folder holds it once."""
+    path = scratch_path(spark, f"scores_month_{abs(hash(sf))}")
+    t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
+    write_scores_month(t, path)
+    write_scores_month(t, path)
+    return spark.read.parquet(path).select(*t.columns)
+
+
+@register("publish_table", with_standins(SCORE_SQL))
+def q_publish_table(spark, sf):
+    """IO10: CREATE TABLE IF NOT EXISTS over the score folder (run twice), read through the catalog."""
+    path = scratch_path(spark, f"scores_table_{abs(hash(sf))}")
+    t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
+    write_scores_month(t, path)
+    name = f"attrition_scores_pub_{abs(hash(sf)) % 100000}"
+    publish_table(spark, name, path)
+    return publish_table(spark, name, path).select(*t.columns)
