@@ -19,6 +19,7 @@ from retenta.functions.scalar import map_values, replace_value
 ZERO_BALANCE_OLD, ZERO_BALANCE_NEW = "Cero", "Rango_SDO_00"
 LIMA_MAP = {"Lima": 1, "Provincia": 0}
 BROADCAST_LABEL_LIMIT = 1_000_000
+LITERAL_LABEL_LIMIT = 10_000
 
 
 def recode(df: DataFrame) -> DataFrame:
@@ -54,7 +55,11 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str
     ``on_unseen``: ``error`` fails the job on a label not seen at fit time,
     ``null`` gives null, ``keep`` gives one code past the last known one.
     """
-    n_labels = encoder.count()
+    enc = encoder.where(F.col("column").isin(list(columns)))
+    small = enc.limit(LITERAL_LABEL_LIMIT + 1).collect()
+    if len(small) <= LITERAL_LABEL_LIMIT:
+        return _apply_literal(df, small, columns, on_unseen)
+    n_labels = enc.count()
     if n_labels > BROADCAST_LABEL_LIMIT:
         return _apply_by_join(df, encoder, columns, on_unseen)
     maps = encoder.groupBy().agg(*[
@@ -76,6 +81,23 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str
     return joined.select(*out)
 
 
+def _apply_literal(df, rows, columns, on_unseen):
+    """Vocabularies of at most ``LITERAL_LABEL_LIMIT`` labels become literal maps."""
+    out = []
+    for c in df.columns:
+        if c not in columns:
+            out.append(F.col(c))
+            continue
+        mine = [r for r in rows if r["column"] == c]
+        pairs = [x for r in mine if r["label"] is not None for x in (F.lit(r["label"]), F.lit(r["code"]))]
+        null_code = next((r["code"] for r in mine if r["label"] is None), None)
+        max_code = max((r["code"] for r in mine), default=-1)
+        lookup = F.element_at(F.create_map(*pairs), F.col(c).cast("string")) if pairs else F.lit(None)
+        found = F.when(F.col(c).isNull(), F.lit(null_code)).otherwise(lookup).cast("bigint")
+        out.append(_unseen(found, c, on_unseen, F.lit(max_code)).alias(c))
+    return df.select(*out)
+
+
 def _unseen(code, c, on_unseen, max_code):
     if on_unseen == "null":
         return code

@@ -48,10 +48,22 @@ def fit_imputation(clients: DataFrame, requests: DataFrame, approx: bool = False
 def apply_imputation(df: DataFrame, params: DataFrame, variables: Sequence[str]) -> DataFrame:
     """Fill nulls of ``variables`` with the fitted values.
 
-    The parameters are pivoted to one row and broadcast (one row per model,
-    a proven size), so applying them is a map-side projection.
+    One value per variable: they are read once (at most ``len(variables)``
+    rows) and inlined as typed literals, so applying them is a narrow
+    projection.
     """
     dtypes = dict(df.dtypes)
+    got = {r["variable"]: r["value"] for r in
+           params.where(F.col("variable").isin(list(variables))).select("variable", "value")
+           .limit(len(variables)).collect()}
+    return df.select(*[F.coalesce(F.col(c), F.lit(got.get(c)).cast(dtypes[c])).alias(c) if c in variables
+                       else F.col(c) for c in df.columns])
+
+
+def apply_imputation_broadcast(df: DataFrame, params: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """Same as ``apply_imputation`` without an action: the parameters are
+    pivoted to one row and broadcast (a single row, a proven size)."""
+    dtypes = dict(df.dtypes)
     one_row = (params.where(F.col("variable").isin(list(variables)))
                .groupBy().pivot("variable", list(variables)).agg(F.first("value")))
     one_row = one_row.select(*[F.col(v).alias(f"__imp_{v}") for v in variables])

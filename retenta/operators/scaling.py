@@ -2,7 +2,7 @@
 
 ``pyspark.ml.feature.StandardScaler`` divides by the sample deviation, so
 the moments are computed here: mean and ``stddev_pop`` for all features in
-one aggregate (one pass, partial aggregation per partition), stored long
+one pass (partial aggregation per partition), stored long
 (feature, mean, std). A zero deviation scales by 1.
 """
 
@@ -23,23 +23,39 @@ def feature_columns(columns: Sequence[str], excluded: Sequence[str] = NOT_SCALED
 
 
 def fit_standardizer(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    aggs = []
-    for i, f in enumerate(features):
-        x = F.col(f"`{f}`").cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"m{i}").alias("mean"),
-                               F.col(f"s{i}").alias("std")) for i, f in enumerate(features)])
-    return row.select(F.inline(pairs))
+    """Long form: every row is expanded to (feature, x) pairs inside the map
+    task and aggregated by feature, so partial aggregation ships one small
+    row per feature and partition, and the generated code stays small for
+    any number of features (a single aggregate with two functions per
+    feature outgrows the generated-method limits)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("x"))
+                                for f in features])).alias("e")
+    return (df.select(pairs).select("e.feature", "e.x").groupBy("feature")
+            .agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")))
+
+
+MAX_LITERAL_FEATURES = 10_000
 
 
 def apply_standardizer(df: DataFrame, moments: DataFrame, features: Sequence[str],
                        keep: Sequence[str] = NOT_SCALED) -> DataFrame:
     """(x - mean) / std per feature; columns in ``keep`` come first, then features in order.
 
-    The moments (two numbers per feature, a size fixed by the feature list)
-    are pivoted to one row and broadcast.
+    The moments are two numbers per feature (a size fixed by the feature
+    list), so they are read once and inlined as literals: scaling is then a
+    narrow projection with no join. Above ``MAX_LITERAL_FEATURES`` they are
+    pivoted to one row and broadcast instead.
     """
+    if len(features) <= MAX_LITERAL_FEATURES:
+        rows = {r["feature"]: (r["mean"], r["std"])
+                for r in moments.where(F.col("feature").isin(list(features))).limit(len(features)).collect()}
+        out = [F.col(c) for c in keep if c in df.columns]
+        for f in features:
+            mean, std = rows.get(f, (None, None))
+            scale = 1.0 if std == 0 else std
+            out.append(((F.col(f"`{f}`").cast("double") - F.lit(mean).cast("double"))
+                        / F.lit(scale).cast("double")).alias(f))
+        return df.select(*out)
     wide = moments.groupBy().agg(*[
         F.max(F.when(F.col("feature") == f, F.col("mean"))).alias(f"__m{i}") for i, f in enumerate(features)
     ], *[

@@ -63,13 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
     """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
     folder and read it back. Computed once (unlike an eager RDD checkpoint,
     which runs the plan for the count and again for the write); a lost
-    executor re-reads files instead of recomputing joins and shuffles."""
+    executor re-reads files instead of recomputing joins and shuffles.
+    ``partition_by`` lays the table out by those columns so later filters on
+    them prune whole folders."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
