@@ -75,11 +75,18 @@ def request_profile(reqs: DataFrame, id_col: str = ID,
     return reqs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*aggs)
 
 
+MAX_ONE_HOT_VALUES = 10_000
+
+
 def categories_dict(cat_table: DataFrame) -> dict[str, list[str]]:
     """Bring the learned vocabularies (a handful of values per column) to the
     driver: they define output column names, so they must be known when the
-    plan is built."""
+    plan is built. A vocabulary too large to become columns is an error, not
+    a silent cut."""
+    rows = cat_table.orderBy("column", "value").limit(MAX_ONE_HOT_VALUES + 1).collect()
+    if len(rows) > MAX_ONE_HOT_VALUES:
+        raise ValueError(f"more than {MAX_ONE_HOT_VALUES} one-hot values; use the distinct counts instead")
     out: dict[str, list[str]] = {}
-    for r in cat_table.orderBy("column", "value").limit(10_000).collect():
+    for r in rows:
         out.setdefault(r["column"], []).append(r["value"])
     return out

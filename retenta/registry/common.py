@@ -34,6 +34,13 @@ def sql_round(cols, digits: int = 6) -> str:
     return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in cols)
 
 
+def split_assignment(spark, sf_dir, mode: str = "exact") -> DataFrame:
+    """(ID_CORRELATIVO, split) for every client; distinct ids only need the
+    customer keys (Catalyst drops the snapshot's outer joins)."""
+    from retenta.operators.split import ids_distinct, split_ids
+    return split_ids(ids_distinct(clients(spark, sf_dir)), 0.3, 42, mode=mode)
+
+
 def split_tables(spark, sf_dir, mode: str = "exact"):
     """(train clients, test clients, train requests, test requests, splits).
 
@@ -42,11 +49,9 @@ def split_tables(spark, sf_dir, mode: str = "exact"):
     side is a partition-pruned scan instead of a re-derived semi join.
     """
     from pyspark.sql import functions as F
-    from retenta.operators.split import ids_distinct, split_ids
     from retenta.session import materialize
     c, r = clients(spark, sf_dir), requests(spark, sf_dir)
-    # distinct ids only need customer keys: Catalyst drops the snapshot's outer joins
-    s = materialize(split_ids(ids_distinct(c), 0.3, 42, mode=mode), "split-ids")
+    s = materialize(split_assignment(spark, sf_dir, mode), "split-ids")
     cs = materialize(c.join(s, "ID_CORRELATIVO"), "clients-split", ("split",))
     rs = materialize(r.join(s, "ID_CORRELATIVO"), "requests-split", ("split",))
     side = lambda df, name: df.where(F.col("split") == name).select(*[x for x in df.columns if x != "split"])

@@ -10,7 +10,7 @@ from retenta.operators.evaluation import (classification_report, confusion_matri
                                           quality_gate, roc_auc, roc_curve, select_champion, youden_threshold)
 from retenta.operators.split import kfold_assign
 from retenta.registry import register
-from retenta.registry.common import clients, rounded, scores, split_tables
+from retenta.registry.common import clients, rounded, scores, split_assignment, split_tables
 from retenta.registry.sql_eval import SCORE_B_SQL, eval_ctes
 from retenta.registry.sql_prepare import SPLIT_CTES
 from retenta.registry.sql_standins import with_standins
@@ -95,7 +95,7 @@ SPLIT_SRC = ("src AS (SELECT s.split AS grp, k.ATTRITION AS y, k.y_prob AS s FRO
 @register("train_vs_test_auc", with_standins(
     "SELECT grp AS split, round(auc, 6) AS auc FROM e_auc", SPLIT_CTES + "," + SPLIT_SRC + "," + eval_ctes("e", "src")))
 def q_train_vs_test_auc(spark, sf):
-    s = split_tables(spark, sf)[4]
+    s = split_assignment(spark, sf)
     ys = _ys(spark, sf).join(s, ID)
     return rounded(roc_auc(ys, "y", "s", ["split"]))
 
@@ -113,7 +113,7 @@ MODELS_CTES = SPLIT_CTES + "," + MODELS_SRC + "," + eval_ctes("e", "src") + ","
 
 def metrics_table(spark, sf) -> DataFrame:
     """(run, model, sample, metric, value): AUC, recall and F1 at each sample's Youden threshold."""
-    s = split_tables(spark, sf)[4]
+    s = split_assignment(spark, sf)
     c = clients(spark, sf)
     a = _ys(spark, sf).join(s, ID).select(F.concat(F.lit("random_forest|"), "split").alias("grp"), "y", "s")
     b = c.join(s, ID).select(F.concat(F.lit("xgbost|"), "split").alias("grp"), F.col(LABEL).alias("y"),

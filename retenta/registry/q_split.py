@@ -8,7 +8,7 @@ from retenta.functions.schema import ID, LABEL
 from retenta.operators.split import (ids_distinct, ids_intersect, keep_ids, kfold_assign, split_ids,
                                      union_splits)
 from retenta.registry import register
-from retenta.registry.common import clients, requests, split_tables
+from retenta.registry.common import clients, requests, split_assignment, split_tables
 from retenta.registry.sql_prepare import SPLIT_CTES
 from retenta.registry.sql_standins import with_standins
 from retenta.session import scratch_path
@@ -29,7 +29,7 @@ def q_ids_intersect(spark, sf):
 
 @register("split_train_test", with_standins("SELECT ID_CORRELATIVO, split FROM split", SPLIT_CTES))
 def q_split_train_test(spark, sf):
-    return split_tables(spark, sf)[4]
+    return split_assignment(spark, sf)
 
 
 @register("split_hash", with_standins(
@@ -42,7 +42,7 @@ def q_split_hash(spark, sf):
 @register("ids_test_complement", with_standins(
     "SELECT ID_CORRELATIVO FROM clientes EXCEPT SELECT ID_CORRELATIVO FROM split WHERE split = 'train'", SPLIT_CTES))
 def q_ids_test_complement(spark, sf):
-    s = split_tables(spark, sf)[4]
+    s = split_assignment(spark, sf)
     return ids_distinct(clients(spark, sf)).exceptAll(s.where(F.col("split") == "train").select(ID))
 
 

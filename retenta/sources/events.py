@@ -27,16 +27,18 @@ REQUEST_TYPES = {ID: "bigint", "CODMES": "bigint"}
 
 def to_event_json(clients: DataFrame, requests: DataFrame) -> DataFrame:
     """One event per (client, request); clients without requests get one event
-    with an empty request list. A narrow left join, no per-client collection."""
+    with an empty request list. No per-client collection: an inner join
+    (AQE can split a hot client on the request side) plus an anti join
+    against the distinct request ids (no skew left after the distinct)."""
     req = requests.select(F.col(ID).alias("__rid"),
                           F.array(*[F.col(c).cast("string") for c in REQUEST_COLUMNS]).alias("__req"))
-    j = clients.join(req, clients[ID] == req["__rid"], "left")
-    body = F.struct(
-        F.array(*[F.col(c).cast("string") for c in EVENT_CLIENT_COLUMNS]).alias("data_cliente"),
-        F.when(F.col("__req").isNull(), F.array().cast("array<array<string>>"))
-         .otherwise(F.array(F.col("__req"))).alias("data_requerimiento"),
-    )
-    return j.select(F.to_json(F.struct(body.alias("body"))).alias("value"))
+    client_arr = F.array(*[F.col(c).cast("string") for c in EVENT_CLIENT_COLUMNS]).alias("data_cliente")
+    with_req = clients.join(req, clients[ID] == req["__rid"]).select(
+        F.struct(client_arr, F.array(F.col("__req")).alias("data_requerimiento")).alias("body"))
+    req_ids = requests.select(F.col(ID).alias("__rid")).distinct()
+    without = clients.join(req_ids, clients[ID] == req_ids["__rid"], "left_anti").select(
+        F.struct(client_arr, F.array().cast("array<array<string>>").alias("data_requerimiento")).alias("body"))
+    return with_req.unionByName(without).select(F.to_json(F.struct("body")).alias("value"))
 
 
 def _typed(name: str, v):
