@@ -58,9 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
+    """A path for written intermediate tables: under the shared checkpoint
+    folder, grouped by application so one run's tables expire together."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/retenta-{spark.sparkContext.applicationId}/{name}"
 
 
 def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
