@@ -24,3 +24,24 @@ def test_forest_learns_a_label_built_from_features(spark):
     assert auc > 0.8
     p2 = T.predict_proba(T.fit(T.random_forest(numTrees=20), T.training_frame(train, state.features)), te)
     assert p1.exceptAll(p2).count() == 0
+
+
+def test_training_and_inference_jobs(spark):
+    import uuid
+    from retenta.plans.batch import inference_job, training_job
+    from retenta.registry.common import clients, requests
+    from retenta.session import scratch_path
+    from tests.conftest import SF_SMALL
+    out = scratch_path(spark, f"t_train_{uuid.uuid4().hex[:6]}")
+    c, r = clients(spark, SF_SMALL), requests(spark, SF_SMALL)
+    res = training_job(spark, c, r, out, run="t")
+    m = res.metrics
+    assert {x["model"] for x in m.select("model").distinct().collect()} == {"random_forest", "xgbost"}
+    assert m.where("sample = 'test' AND metric = 'auc'").count() == 2
+    champ = res.champion.first()
+    assert champ["champion"] in ("random_forest", "xgbost")
+    scores = inference_job(spark, c, r, out, champ["champion"], 200102, "2024-09-01 03:30:00",
+                           scratch_path(spark, f"t_scores_{uuid.uuid4().hex[:6]}"))
+    assert scores.count() == c.count()
+    orders = sorted(x["order"] for x in scores.select("order").collect())
+    assert orders == list(range(1, c.count() + 1))
