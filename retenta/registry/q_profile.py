@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, LAG_MEASURES
 from retenta.operators.lags import lag_pivot, lag_unpivot, lag_variation, month_lag
 from retenta.operators.profiling import (class_balance, class_weight_balanced, correlation_matrix, null_percent,
-                                         profile_numeric)
+                                         profile_numeric, profile_sketch)
 from retenta.registry import register
 from retenta.registry.common import clients, rounded, scores, tables
 from retenta.registry.sql_standins import with_standins
@@ -45,6 +45,12 @@ def q_profile_table(spark, sf):
     return rounded(profile_numeric(clients(spark, sf), _NUM))
 
 
+@register("profile_sketch")
+def q_profile_sketch(spark, sf):
+    """A12 sketch part: approximate distinct counts and quartiles in bounded memory."""
+    return profile_sketch(clients(spark, sf), _NUM)
+
+
 _CORR = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "NRO_ENTID_SSFF_MENOS0", "y_prob", "ATTRITION"]
 
 

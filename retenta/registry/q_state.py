@@ -146,7 +146,10 @@ def q_select_features(spark, sf):
     return rounded(apply_prepare(te_c, te_r, state).select(*[F.col(f"`{f}`") for f in state.features]))
 
 
-@register("sorted_feature_columns")
+@register("sorted_feature_columns",
+          "SELECT CAST(row_number() OVER (ORDER BY column_name) - 1 AS INTEGER) AS pos, column_name AS name FROM "
+          "(DESCRIBE " + with_standins(scaled_select("tr", True), prepare_ctes(True, "inner")) + ") "
+          "WHERE column_name NOT IN ('ID_CORRELATIVO', 'CODMES', 'ATTRITION')")
 def q_sorted_feature_columns(spark, sf):
     tr_c, _, tr_r, _, _ = split_tables(spark, sf)
     _, state = fit_prepare(tr_c, tr_r, join_how="inner", with_pivot_counts=True)

@@ -100,6 +100,18 @@ def q_stream_sliding_activity(spark, sf):
     return jobs.latest_by_key(spark, f"{base}/out", ["user_id", "window_start"])
 
 
+@register("session_activity", """
+WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+g AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+      OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+       strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS n_events
+FROM g GROUP BY user_id, sid""")
+def q_session_activity(spark, sf):
+    """ST4 session part: 30-minute inactivity sessions per client (batch form of the stream job)."""
+    return jobs.session_activity(read_table(spark, sf, "events"))
+
+
 @register("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def q_stream_dedup(spark, sf):
     """Every event is delivered twice (two readers of the same files); replays are dropped."""
