@@ -57,8 +57,10 @@ def _maybe_broadcast(df: DataFrame, grouped: bool) -> DataFrame:
 
 def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
                       partition_cols: Sequence[str] = (), name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY partition_cols ORDER BY order_cols)``, 1-based."""
+                      num_partitions: int | None = None, total_name: str | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY partition_cols ORDER BY order_cols)``, 1-based.
+    With ``total_name`` the group size (``count(*) OVER (PARTITION BY ...)``)
+    is added too, taken from the same small offsets table."""
     pcols = list(partition_cols)
     keys = [F.col(c) for c in pcols] + _sort_cols(order_cols)
     t = _range_sorted(df, keys, num_partitions)
@@ -66,11 +68,13 @@ def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
     counts = t.groupBy("__pid", *pcols).agg(F.count(F.lit(1)).alias("__n"), F.min(local).alias("__first"))
     w = Window.partitionBy(*pcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("__pid").alias("__opid"), *[F.col(c).alias(f"__g_{c}") for c in pcols],
-                            "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+                            "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"),
+                            F.sum("__n").over(Window.partitionBy(*pcols)).alias("__total"))
     cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
     joined = t.join(_maybe_broadcast(offsets, bool(pcols)), cond)
     rn = (F.col("__off") + local - F.col("__first") + 1).cast("bigint")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], rn.alias(name))
+    extra = [F.col("__total").cast("bigint").alias(total_name)] if total_name else []
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], rn.alias(name), *extra)
 
 
 def running_sums(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[Column | str],

@@ -10,8 +10,6 @@ size exact only in expectation.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.schema import ID, LABEL
@@ -39,10 +37,10 @@ def split_ids(ids: DataFrame, test_frac: float = 0.3, seed: int = 42, id_col: st
         bucket = F.conv(F.substring(split_key(id_col, seed), 1, 8), 16, 10).cast("bigint") % HASH_BUCKETS
         return ids.select(id_col, F.when(bucket < int(round(test_frac * HASH_BUCKETS)), "test")
                           .otherwise("train").alias("split"))
-    n = ids.count()
-    n_test = math.ceil(test_frac * n)
     ranked = row_number_global(ids.select(id_col, split_key(id_col, seed).alias("__k")),
-                               [F.col("__k"), F.col(id_col)], name="__rn")
+                               [F.col("__k"), F.col(id_col)], name="__rn", total_name="__n")
+    # test size ceil(frac * n), in double arithmetic like the usual splitters
+    n_test = F.ceil(F.lit(float(test_frac)) * F.col("__n").cast("double"))
     return ranked.select(id_col, F.when(F.col("__rn") <= n_test, "test").otherwise("train").alias("split"))
 
 
