@@ -110,9 +110,26 @@ def threshold_label(p: ColumnLike, t) -> Column:
     return (_c(p) >= (t if isinstance(t, Column) else F.lit(t))).cast("int")
 
 
-def load_date(ts: ColumnLike, tz: str = "America/Lima") -> Column:
-    """``yyyyMMdd`` of a UTC timestamp seen in time zone ``tz`` (session TZ is UTC)."""
-    return F.date_format(F.from_utc_timestamp(_c(ts), tz), "yyyyMMdd")
+def ntz_literal(value: str) -> Column:
+    """A TIMESTAMP_NTZ literal: compares with NTZ columns without any session time zone."""
+    return F.to_timestamp_ntz(F.lit(value))
+
+
+def instant_from_utc(ntz: ColumnLike, spark) -> Column:
+    """TIMESTAMP instant of a UTC wall-clock TIMESTAMP_NTZ, whatever the session time zone."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _c(ntz)).cast("timestamp")
+
+
+def utc_wall_clock(instant: ColumnLike) -> Column:
+    """TIMESTAMP_NTZ wall clock in UTC of a TIMESTAMP instant."""
+    return F.convert_timezone(None, F.lit("UTC"), _c(instant))
+
+
+def load_date(ts: ColumnLike, tz: str = "America/Lima", source_tz: str = "UTC") -> Column:
+    """``yyyyMMdd`` in time zone ``tz`` of a TIMESTAMP_NTZ wall clock in ``source_tz``;
+    independent of the session time zone."""
+    return F.date_format(F.convert_timezone(F.lit(source_tz), F.lit(tz), _c(ts).cast("timestamp_ntz")), "yyyyMMdd")
 
 
 def coef_variation(std: ColumnLike, mean: ColumnLike) -> Column:

@@ -31,7 +31,7 @@ def q_risk_band(spark, sf):
 SELECT event_id, strftime(timezone('America/Lima', ts AT TIME ZONE 'UTC'), '%Y%m%d') AS load_date FROM events""")
 def q_load_date_lima(spark, sf):
     e = tables(spark, sf).events
-    return e.select("event_id", load_date(F.col("ts").cast("timestamp")).alias("load_date"))
+    return e.select("event_id", load_date("ts").alias("load_date"))
 
 
 @register("threshold_label", with_standins(

@@ -22,6 +22,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from retenta.functions.scalar import ntz_literal
 from retenta.functions.schema import CLIENT_COLUMNS, ID, MONTH, N_LAGS, lag_cols
 from retenta.sources.tables import Tables
 
@@ -52,6 +53,11 @@ def next_month_start(yyyymm: int) -> dt.datetime:
     return key_start(month_key(yyyymm) + 1)
 
 
+def _ts(d: dt.datetime) -> Column:
+    """NTZ literal: the driver tables hold TIMESTAMP_NTZ, so no session time zone applies."""
+    return ntz_literal(d.strftime("%Y-%m-%d %H:%M:%S"))
+
+
 def _order_index(date_col: str, anchor: int) -> Column:
     """Months between the anchor month and the month of ``date_col``."""
     return F.lit(month_key(anchor)) - (F.year(date_col) * 12 + F.month(date_col) - 1)
@@ -77,7 +83,7 @@ def order_measures(t: Tables, anchor: int = ANCHOR_MONTH, outcome_start: str = O
         aggs.append(F.max(F.when(_in_lag(F.col("lag"), i) & (F.col("o_orderstatus") == "F"), 1)
                           .otherwise(0)).cast("bigint").alias(f"FLG_SEGURO_MENOS{i}"))
     aggs.append(F.max(F.when(F.col("idx") >= 0, F.col("idx"))).alias("first_idx"))
-    aggs.append(F.max(F.when(F.col("o_orderdate") >= F.lit(dt.datetime.fromisoformat(outcome_start)), 1)
+    aggs.append(F.max(F.when(F.col("o_orderdate") >= _ts(dt.datetime.fromisoformat(outcome_start)), 1)
                       .otherwise(0)).alias("active_after"))
     g = o.groupBy(F.col("o_custkey").alias(ID)).agg(*aggs)
     # integer division keeps the balance exact for any sum size
@@ -90,8 +96,8 @@ def item_measures(t: Tables, anchor: int = ANCHOR_MONTH) -> DataFrame:
     lo_key = month_key(anchor) - (N_LAGS * ORDER_BLOCK_MONTHS - 1)
     lo_day = key_start(lo_key)
     o = (t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-         .where((F.col("o_orderdate") >= F.lit(lo_day))
-                & (F.col("o_orderdate") < F.lit(next_month_start(anchor))))
+         .where((F.col("o_orderdate") >= _ts(lo_day))
+                & (F.col("o_orderdate") < _ts(next_month_start(anchor))))
          .select("o_orderkey", "o_custkey",
                  F.floor(_order_index("o_orderdate", anchor) / ORDER_BLOCK_MONTHS).alias("lag")))
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag")
@@ -114,8 +120,9 @@ def event_measures(t: Tables) -> DataFrame:
     start = dt.date.fromisoformat(EVENTS_START)
     days = F.datediff(F.to_date("ts"), F.lit(start))
     e = (t.events.select("user_id", "ts", "event_type")
-         .where((F.col("ts") >= F.lit(dt.datetime.combine(start, dt.time())))
-                & (F.col("ts") < F.lit(dt.datetime.combine(start + dt.timedelta(days=N_LAGS * EVENT_BUCKET_DAYS), dt.time()))))
+         .where((F.col("ts") >= _ts(dt.datetime.combine(start, dt.time())))
+                & (F.col("ts") < _ts(dt.datetime.combine(start + dt.timedelta(days=N_LAGS * EVENT_BUCKET_DAYS),
+                                                         dt.time()))))
          .select("user_id", "event_type",
                  (F.lit(N_LAGS - 1) - F.floor(days / EVENT_BUCKET_DAYS)).alias("lag")))
     aggs = []
@@ -171,8 +178,8 @@ def requests(t: Tables, month_range: tuple[int, int] = REQUEST_RANGE) -> DataFra
     """
     lo, hi = month_range
     o = (t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-         .where((F.col("o_orderdate") >= F.lit(month_start(lo)))
-                & (F.col("o_orderdate") < F.lit(next_month_start(hi)))))
+         .where((F.col("o_orderdate") >= _ts(month_start(lo)))
+                & (F.col("o_orderdate") < _ts(next_month_start(hi)))))
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag")
     p = t.part.select("p_partkey", "p_type")
     j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))

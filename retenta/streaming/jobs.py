@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retenta.functions.features import engineer
-from retenta.functions.scalar import risk_band
+from retenta.functions.scalar import instant_from_utc, risk_band, utc_wall_clock
 from retenta.functions.schema import ID, REQUEST_COLUMNS
 from retenta.operators.encoding import apply_label_encoder, recode, string_columns
 from retenta.operators.imputation import CLIENT_IMPUTATION, apply_imputation
@@ -85,20 +85,24 @@ def score_events(events: DataFrame, state: PreparedState, model, assembler) -> D
 
 
 def event_time(events: DataFrame, col: str = "ts") -> DataFrame:
-    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC wall-clock time."""
+    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC wall-clock time
+    (independent of the session time zone)."""
     if dict(events.dtypes).get(col) == "timestamp_ntz":
-        return events.withColumn(col, F.col(col).cast("timestamp"))
+        return events.withColumn(col, instant_from_utc(F.col(col), events.sparkSession))
     return events
 
 
+def _utc_text(c) -> Column:
+    return F.date_format(utc_wall_clock(c), "yyyy-MM-dd HH:mm:ss")
+
+
 def request_windows(events: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
     """Events per client per tumbling window: count and approximate distinct types
     (exact distinct is not allowed on streams)."""
     return (event_time(events).withWatermark("ts", watermark)
             .groupBy(F.col("user_id"), F.window("ts", window).alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"), F.approx_count_distinct("event_type").alias("n_types"))
-            .select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    "n_events", "n_types"))
+            .select("user_id", _utc_text(F.col("w.start")).alias("window_start"), "n_events", "n_types"))
 
 
 def sliding_activity(events: DataFrame, length: str = "10 days", slide: str = "5 days",
@@ -107,15 +111,15 @@ def sliding_activity(events: DataFrame, length: str = "10 days", slide: str = "5
     return (e.withWatermark("ts", watermark)
             .groupBy("user_id", F.window("ts", length, slide).alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"))
-            .select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_events"))
+            .select("user_id", _utc_text(F.col("w.start")).alias("window_start"), "n_events"))
 
 
 def session_activity(events: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
     return (event_time(events).withWatermark("ts", watermark)
             .groupBy("user_id", F.session_window("ts", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("n_events"))
-            .select("user_id", F.date_format("s.start", "yyyy-MM-dd HH:mm:ss").alias("session_start"),
-                    F.date_format("s.end", "yyyy-MM-dd HH:mm:ss").alias("session_end"), "n_events"))
+            .select("user_id", _utc_text(F.col("s.start")).alias("session_start"),
+                    _utc_text(F.col("s.end")).alias("session_end"), "n_events"))
 
 
 def dedup_events(events: DataFrame, key: Sequence[str] = ("event_id",), watermark: str = "1 hour") -> DataFrame:
