@@ -244,3 +244,28 @@ def q_latest_version(spark, sf):
         "name", (F.col("fold") + 1).alias("version"),
         F.when(F.col("auc") >= 0.5, "development").otherwise("archived").alias("tag"))
     return versions.where(F.col("tag") == "development").groupBy("name").agg(F.max("version").alias("version"))
+
+
+# ---- second label / score pair: document quality against document length -----------------------
+
+DOC_SRC = ("src AS (SELECT 'all' AS grp, l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s "
+           "FROM labels l JOIN documents d ON d.doc_id = l.doc_id)")
+
+
+def _doc_ys(spark, sf) -> DataFrame:
+    from retenta.registry.common import tables
+    t = tables(spark, sf)
+    return t.labels.select("doc_id", F.col("quality").alias("y")).join(
+        t.documents.select("doc_id", F.col("n_chars").cast("double").alias("s")), "doc_id")
+
+
+@register("roc_auc_quality_length", f"WITH {DOC_SRC},{eval_ctes('e', 'src')} SELECT round(auc, 6) AS auc FROM e_auc")
+def q_roc_auc_quality_length(spark, sf):
+    """Exact AUC of document length as a score for the quality label (continuous scores)."""
+    return rounded(roc_auc(_doc_ys(spark, sf), "y", "s"))
+
+
+@register("youden_quality_length",
+          f"WITH {DOC_SRC},{eval_ctes('e', 'src')} SELECT threshold, round(youden_j, 6) AS youden_j FROM e_youden")
+def q_youden_quality_length(spark, sf):
+    return rounded(youden_threshold(roc_curve(_doc_ys(spark, sf), "y", "s")))
