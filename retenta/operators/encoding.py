@@ -55,6 +55,8 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str
     ``on_unseen``: ``error`` fails the job on a label not seen at fit time,
     ``null`` gives null, ``keep`` gives one code past the last known one.
     """
+    if isinstance(encoder, list):   # rows already read (a bounded vocabulary)
+        return _apply_literal(df, encoder, columns, on_unseen)
     enc = encoder.where(F.col("column").isin(list(columns)))
     small = enc.limit(LITERAL_LABEL_LIMIT + 1).collect()
     if len(small) <= LITERAL_LABEL_LIMIT:
@@ -81,6 +83,12 @@ def apply_label_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str
     return joined.select(*out)
 
 
+def encoder_rows(encoder: DataFrame):
+    """The mapping as rows when it has at most ``LITERAL_LABEL_LIMIT`` labels, else None."""
+    rows = encoder.limit(LITERAL_LABEL_LIMIT + 1).collect()
+    return rows if len(rows) <= LITERAL_LABEL_LIMIT else None
+
+
 def _apply_literal(df, rows, columns, on_unseen):
     """Vocabularies of at most ``LITERAL_LABEL_LIMIT`` labels become literal maps."""
     out = []

@@ -45,17 +45,22 @@ def fit_imputation(clients: DataFrame, requests: DataFrame, approx: bool = False
         fit_table(requests, "requerimientos", REQUEST_IMPUTATION, approx))
 
 
-def apply_imputation(df: DataFrame, params: DataFrame, variables: Sequence[str]) -> DataFrame:
+def imputation_values(params: DataFrame, variables: Sequence[str] | None = None) -> dict:
+    """{variable: value}: one row per variable, read with an exact bound."""
+    p = params if variables is None else params.where(F.col("variable").isin(list(variables)))
+    bound = len(variables) if variables is not None else 10_000
+    return {r["variable"]: r["value"] for r in p.select("variable", "value").limit(bound).collect()}
+
+
+def apply_imputation(df: DataFrame, params, variables: Sequence[str]) -> DataFrame:
     """Fill nulls of ``variables`` with the fitted values.
 
     One value per variable: they are read once (at most ``len(variables)``
-    rows) and inlined as typed literals, so applying them is a narrow
-    projection.
+    rows, or passed in already read as a dict) and inlined as typed
+    literals, so applying them is a narrow projection.
     """
     dtypes = dict(df.dtypes)
-    got = {r["variable"]: r["value"] for r in
-           params.where(F.col("variable").isin(list(variables))).select("variable", "value")
-           .limit(len(variables)).collect()}
+    got = params if isinstance(params, dict) else imputation_values(params, variables)
     return df.select(*[F.coalesce(F.col(c), F.lit(got.get(c)).cast(dtypes[c])).alias(c) if c in variables
                        else F.col(c) for c in df.columns])
 

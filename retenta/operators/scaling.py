@@ -37,6 +37,12 @@ def fit_standardizer(df: DataFrame, features: Sequence[str]) -> DataFrame:
 MAX_LITERAL_FEATURES = 10_000
 
 
+def moment_values(moments: DataFrame, features: Sequence[str]) -> dict:
+    """{feature: (mean, std)}: one row per feature, read with an exact bound."""
+    return {r["feature"]: (r["mean"], r["std"])
+            for r in moments.where(F.col("feature").isin(list(features))).limit(len(features)).collect()}
+
+
 def apply_standardizer(df: DataFrame, moments: DataFrame, features: Sequence[str],
                        keep: Sequence[str] = NOT_SCALED) -> DataFrame:
     """(x - mean) / std per feature; columns in ``keep`` come first, then features in order.
@@ -46,9 +52,8 @@ def apply_standardizer(df: DataFrame, moments: DataFrame, features: Sequence[str
     narrow projection with no join. Above ``MAX_LITERAL_FEATURES`` they are
     pivoted to one row and broadcast instead.
     """
-    if len(features) <= MAX_LITERAL_FEATURES:
-        rows = {r["feature"]: (r["mean"], r["std"])
-                for r in moments.where(F.col("feature").isin(list(features))).limit(len(features)).collect()}
+    if isinstance(moments, dict) or len(features) <= MAX_LITERAL_FEATURES:
+        rows = moments if isinstance(moments, dict) else moment_values(moments, features)
         out = [F.col(c) for c in keep if c in df.columns]
         for f in features:
             mean, std = rows.get(f, (None, None))

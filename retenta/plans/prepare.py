@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame, functions as F
 from retenta.functions.features import engineer
 from retenta.functions.scalar import empty_to_null
 from retenta.functions.schema import (EMPTY_AS_NULL_CLIENT, EMPTY_AS_NULL_REQUEST, ID, LABEL, MONTH)
-from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, recode, string_columns
+from retenta.operators.encoding import (apply_label_encoder, encoder_rows, fit_label_encoder, recode,
+                                       string_columns)
 from retenta.operators.imputation import CLIENT_IMPUTATION, REQUEST_IMPUTATION, apply_imputation, fit_imputation
 from retenta.operators.requests import categories_dict, learn_categories, request_profile
-from retenta.operators.scaling import NOT_SCALED, apply_standardizer, feature_columns, fit_standardizer
-from retenta.session import materialize
+from retenta.operators.scaling import (NOT_SCALED, apply_standardizer, feature_columns, fit_standardizer,
+                                      moment_values)
+from retenta.session import materialize, small_table
 
 
 @dataclass
@@ -49,13 +51,23 @@ def clean_requests(df: DataFrame) -> DataFrame:
     return df.select(*[empty_to_null(c).alias(c) if c in EMPTY_AS_NULL_REQUEST else F.col(c) for c in df.columns])
 
 
-def _impute(clients: DataFrame, reqs: DataFrame, params: DataFrame) -> tuple[DataFrame, DataFrame]:
-    c = apply_imputation(clients, params.where(F.col("dataframe") == "clientes"), [v for v, _ in CLIENT_IMPUTATION])
-    r = apply_imputation(reqs, params.where(F.col("dataframe") == "requerimientos"),
+def _impute(clients: DataFrame, reqs: DataFrame, params) -> tuple[DataFrame, DataFrame]:
+    """``params``: the imputation table, or its values already read
+    ({(dataframe, variable): value})."""
+    if not isinstance(params, dict):
+        params = _param_values(params)
+    c = apply_imputation(clients, {v: x for (t, v), x in params.items() if t == "clientes"},
+                         [v for v, _ in CLIENT_IMPUTATION])
+    r = apply_imputation(reqs, {v: x for (t, v), x in params.items() if t == "requerimientos"},
                          [v for v, _ in REQUEST_IMPUTATION])
     return c, r
 
 
+def _param_values(params: DataFrame) -> dict:
+    return {(r["dataframe"], r["variable"]): r["value"]
+            for r in params.select("dataframe", "variable", "value").limit(10_000).collect()}
+
+
 def _join(clients: DataFrame, profile: DataFrame, how: str) -> DataFrame:
     joined = clients.join(profile, ID, how)
     if how == "left":
@@ -65,7 +77,7 @@ def _join(clients: DataFrame, profile: DataFrame, how: str) -> DataFrame:
     return joined
 
 
-def build_unscaled(clients: DataFrame, reqs: DataFrame, params: DataFrame, encoder: DataFrame | None,
+def build_unscaled(clients: DataFrame, reqs: DataFrame, params, encoder,
                    categories: dict | None, join_how: str, on_unseen: str = "error"):
     c, r = _impute(clean_clients(clients), clean_requests(reqs), params)
     c = recode(engineer(c))
@@ -79,35 +91,41 @@ def build_unscaled(clients: DataFrame, reqs: DataFrame, params: DataFrame, encod
 
 def fit_prepare(clients: DataFrame, reqs: DataFrame, join_how: str = "left",
                 with_pivot_counts: bool = False, persist: bool = True) -> tuple[DataFrame, PreparedState]:
-    """Fit on training rows. With ``persist`` (the default) each fitted table
-    and the unscaled training matrix are written once to the shared
-    checkpoint folder: later steps read a few stored rows instead of
-    re-deriving the training chain inside every broadcast."""
+    """Fit on training rows. With ``persist`` (the default) the fitted tables
+    are read once with an exact row bound and kept as local relations (or
+    written when larger), and the unscaled training matrix is written once
+    to the shared checkpoint folder: moments and scaling read it instead of
+    re-deriving the training chain."""
     keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
-    params = keep(fit_imputation(clean_clients(clients), clean_requests(reqs)), "state-imputation")
+    small = (lambda df, bound, name: small_table(df, bound, name)) if persist else (lambda df, bound, name: df)
+    params = small(fit_imputation(clean_clients(clients), clean_requests(reqs)), 100, "state-imputation")
+    values = _param_values(params)          # read once, reused by every step below
     cat_table = None
     categories = None
     if with_pivot_counts:
-        _, r_imp = _impute(clean_clients(clients), clean_requests(reqs), params)
-        cat_table = keep(learn_categories(r_imp), "state-categories")
+        _, r_imp = _impute(clean_clients(clients), clean_requests(reqs), values)
+        cat_table = small(learn_categories(r_imp), 10_000, "state-categories")
         categories = categories_dict(cat_table)
-    c, _ = _impute(clean_clients(clients), clean_requests(reqs), params)
+    c, _ = _impute(clean_clients(clients), clean_requests(reqs), values)
     c = recode(engineer(c))
-    encoder = keep(fit_label_encoder(c, string_columns(c)), "state-encoding")
-    joined, _, _ = build_unscaled(clients, reqs, params, encoder, categories, join_how)
+    encoder = small(fit_label_encoder(c, string_columns(c)), 10_000, "state-encoding")
+    rows = encoder_rows(encoder)
+    joined, _, _ = build_unscaled(clients, reqs, values, rows if rows is not None else encoder, categories,
+                                  join_how)
     joined = keep(joined, "train-unscaled")
     features = feature_columns(joined.columns)
-    moments = keep(fit_standardizer(joined, features), "state-moments")
-    prepared = apply_standardizer(joined, moments, features)
+    moments = small(fit_standardizer(joined, features), 10_000, "state-moments")
+    prepared = apply_standardizer(joined, moment_values(moments, features), features)
     return prepared, PreparedState(params, encoder, cat_table, moments, features, join_how)
 
 
 def apply_prepare(clients: DataFrame, reqs: DataFrame, state: PreparedState,
                   on_unseen: str = "error") -> DataFrame:
     categories = categories_dict(state.categories) if state.categories is not None else None
-    joined, _, _ = build_unscaled(clients, reqs, state.imputation, state.encoder, categories,
-                                  state.join_how, on_unseen)
-    return apply_standardizer(joined, state.moments, state.features)
+    rows = encoder_rows(state.encoder)
+    joined, _, _ = build_unscaled(clients, reqs, _param_values(state.imputation),
+                                  rows if rows is not None else state.encoder, categories, state.join_how, on_unseen)
+    return apply_standardizer(joined, moment_values(state.moments, state.features), state.features)
 
 
 __all__ = ["PreparedState", "fit_prepare", "apply_prepare", "build_unscaled", "clean_clients",

@@ -12,16 +12,29 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
 
+_PLANS: dict = {}
+
+
+def _plan(kind, spark, sf_dir, build):
+    """Lazy DataFrames are immutable: build each stand-in plan once per
+    session and folder (no data is cached, only the analysed plan)."""
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def clients(spark, sf_dir) -> DataFrame:
-    return standins.clients(tables(spark, sf_dir))
+    return _plan("clients", spark, sf_dir, lambda: standins.clients(tables(spark, sf_dir)))
 
 
 def requests(spark, sf_dir, month_range=standins.REQUEST_RANGE) -> DataFrame:
-    return standins.requests(tables(spark, sf_dir), month_range)
+    return _plan(("requests", month_range), spark, sf_dir,
+                 lambda: standins.requests(tables(spark, sf_dir), month_range))
 
 
 def scores(spark, sf_dir) -> DataFrame:
-    return standins.scored_clients(tables(spark, sf_dir))
+    return _plan("scores", spark, sf_dir, lambda: standins.scored_clients(tables(spark, sf_dir)))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
