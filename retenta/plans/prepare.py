@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from retenta.functions.features import engineer
 from retenta.functions.scalar import empty_to_null
-from retenta.functions.schema import (EMPTY_AS_NULL_CLIENT, EMPTY_AS_NULL_REQUEST, ID, LABEL, MONTH)
+from retenta.functions.schema import EMPTY_AS_NULL_CLIENT, EMPTY_AS_NULL_REQUEST, ID
 from retenta.operators.encoding import (apply_label_encoder, encoder_rows, fit_label_encoder, recode,
                                        string_columns)
 from retenta.operators.imputation import CLIENT_IMPUTATION, REQUEST_IMPUTATION, apply_imputation, fit_imputation
@@ -129,4 +129,4 @@ def apply_prepare(clients: DataFrame, reqs: DataFrame, state: PreparedState,
 
 
 __all__ = ["PreparedState", "fit_prepare", "apply_prepare", "build_unscaled", "clean_clients",
-           "clean_requests", "NOT_SCALED", "LABEL", "MONTH"]
+           "clean_requests", "NOT_SCALED"]

@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from retenta.functions.features import ENGINEERED, FEATURE_SPEC, engineer
 from retenta.functions.scalar import fill_with_value, map_values, replace_value, row_mean_skipna, row_sum_skipna
 from retenta.functions.schema import ID, lag_cols

@@ -9,7 +9,7 @@ from retenta.functions.schema import ID, LABEL, MONTH
 from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, recode
 from retenta.operators.imputation import fit_imputation, fit_table
 from retenta.operators.scaling import apply_standardizer, fit_standardizer
-from retenta.plans.prepare import apply_prepare, build_unscaled, clean_clients, clean_requests, fit_prepare
+from retenta.plans.prepare import apply_prepare, clean_clients, clean_requests, fit_prepare
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, split_tables
 from retenta.registry.sql_prepare import ENC_COLS, IMPUTATION_CTE, SPLIT_CTES, features, prepare_ctes, scaled_select
@@ -200,5 +200,3 @@ def q_sink_prepared(spark, sf):
     rounded(prepared).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
-
-__all__ = ["build_unscaled", "fit_imputation", "fit_label_encoder"]

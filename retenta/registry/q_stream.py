@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from retenta.functions.features import engineer
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, scores
@@ -136,5 +134,3 @@ def q_stream_monthly_upsert(spark, sf):
         jobs.upsert_by_month(stream, f"{base}/table", f"{base}/ck_{run}")
     return spark.read.parquet(f"{base}/table").select(*t.columns)
 
-
-__all__ = ["F"]
