@@ -14,7 +14,7 @@ the local tracked pipeline (87 features).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -38,6 +38,14 @@ class PreparedState:
     moments: DataFrame             # feature, mean, std
     features: list[str]            # model input order
     join_how: str = "left"
+    # the bounded tables above, already read (set by fit_prepare; empty when
+    # the state is loaded from storage or replaced)
+    read_values: dict = field(default_factory=dict)
+
+    def __setattr__(self, name, value):
+        if name in ("imputation", "encoder", "moments", "categories") and "read_values" in self.__dict__:
+            self.__dict__["read_values"] = {}
+        object.__setattr__(self, name, value)
 
     def feature_table(self, spark) -> DataFrame:
         return spark.createDataFrame([(i, f) for i, f in enumerate(self.features)], "pos int, name string")
@@ -97,35 +105,49 @@ def fit_prepare(clients: DataFrame, reqs: DataFrame, join_how: str = "left",
     to the shared checkpoint folder: moments and scaling read it instead of
     re-deriving the training chain."""
     keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
-    small = (lambda df, bound, name: small_table(df, bound, name)) if persist else (lambda df, bound, name: df)
-    params = small(fit_imputation(clean_clients(clients), clean_requests(reqs)), 100, "state-imputation")
-    values = _param_values(params)          # read once, reused by every step below
+    small = (lambda df, bound, name: small_table(df, bound, name)) if persist else (lambda df, bound, name: (df, None))
+    params, rows = small(fit_imputation(clean_clients(clients), clean_requests(reqs)), 100, "state-imputation")
+    # read once, reused by every step below
+    values = ({(r["dataframe"], r["variable"]): r["value"] for r in rows} if rows is not None
+              else _param_values(params))
     cat_table = None
     categories = None
     if with_pivot_counts:
         _, r_imp = _impute(clean_clients(clients), clean_requests(reqs), values)
-        cat_table = small(learn_categories(r_imp), 10_000, "state-categories")
+        cat_table, _ = small(learn_categories(r_imp), 10_000, "state-categories")
         categories = categories_dict(cat_table)
     c, _ = _impute(clean_clients(clients), clean_requests(reqs), values)
     c = recode(engineer(c))
-    encoder = small(fit_label_encoder(c, string_columns(c)), 10_000, "state-encoding")
-    rows = encoder_rows(encoder)
-    joined, _, _ = build_unscaled(clients, reqs, values, rows if rows is not None else encoder, categories,
+    encoder, enc_rows = small(fit_label_encoder(c, string_columns(c)), 10_000, "state-encoding")
+    if enc_rows is None:
+        enc_rows = encoder_rows(encoder)
+    joined, _, _ = build_unscaled(clients, reqs, values, enc_rows if enc_rows is not None else encoder, categories,
                                   join_how)
     joined = keep(joined, "train-unscaled")
     features = feature_columns(joined.columns)
-    moments = small(fit_standardizer(joined, features), 10_000, "state-moments")
-    prepared = apply_standardizer(joined, moment_values(moments, features), features)
-    return prepared, PreparedState(params, encoder, cat_table, moments, features, join_how)
+    moments, m_rows = small(fit_standardizer(joined, features), 10_000, "state-moments")
+    m_values = ({r["feature"]: (r["mean"], r["std"]) for r in m_rows} if m_rows is not None
+                else moment_values(moments, features))
+    prepared = apply_standardizer(joined, m_values, features)
+    state = PreparedState(params, encoder, cat_table, moments, features, join_how)
+    state.read_values = {"imputation": values, "encoder": enc_rows, "moments": m_values, "categories": categories}
+    return prepared, state
 
 
 def apply_prepare(clients: DataFrame, reqs: DataFrame, state: PreparedState,
                   on_unseen: str = "error") -> DataFrame:
-    categories = categories_dict(state.categories) if state.categories is not None else None
-    rows = encoder_rows(state.encoder)
-    joined, _, _ = build_unscaled(clients, reqs, _param_values(state.imputation),
-                                  rows if rows is not None else state.encoder, categories, state.join_how, on_unseen)
-    return apply_standardizer(joined, moment_values(state.moments, state.features), state.features)
+    cache = state.read_values
+    if cache:
+        categories, rows, values, m_values = (cache["categories"], cache["encoder"], cache["imputation"],
+                                              cache["moments"])
+    else:
+        categories = categories_dict(state.categories) if state.categories is not None else None
+        rows = encoder_rows(state.encoder)
+        values = _param_values(state.imputation)
+        m_values = moment_values(state.moments, state.features)
+    joined, _, _ = build_unscaled(clients, reqs, values, rows if rows is not None else state.encoder, categories,
+                                  state.join_how, on_unseen)
+    return apply_standardizer(joined, m_values, state.features)
 
 
 __all__ = ["PreparedState", "fit_prepare", "apply_prepare", "build_unscaled", "clean_clients",

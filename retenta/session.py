@@ -84,8 +84,9 @@ def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
 def small_table(df, max_rows: int, name: str = "state"):
     """Fitted state with an exact row bound: read once and kept as a local
     relation (later reads run no Spark job). Above ``max_rows`` it is written
-    as a Parquet table instead, so nothing unbounded reaches the driver."""
+    as a Parquet table instead, so nothing unbounded reaches the driver.
+    Returns (table, rows); rows is None when the table was written."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return materialize(df, name)
+        return df.sparkSession.createDataFrame(rows, df.schema), rows
+    return materialize(df, name), None
