@@ -76,3 +76,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("corr"))
                     for i, (a, b) in enumerate(pairs)])
     return row.select(F.inline(arr))
+
+
+def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:
+    """Most frequent non-null values per column: (column, value, n, rank).
+
+    Counts per (column, value) pre-aggregate map-side; ranking within a column
+    goes through range partitions (a column with many distinct values is
+    spread over many tasks), ties broken by the value.
+    """
+    from retenta.operators.ordering import row_number_global
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+                                for c in columns])).alias("e")
+    counts = (df.select(pairs).select("e.column", "e.value").where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    ranked = row_number_global(counts, [F.col("n").desc(), F.col("value").asc()], partition_cols=["column"],
+                               name="rank")
+    return ranked.where(F.col("rank") <= k)

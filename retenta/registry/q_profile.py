@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, LAG_MEASURES
 from retenta.operators.lags import lag_pivot, lag_unpivot, lag_variation, month_lag
 from retenta.operators.profiling import (class_balance, class_weight_balanced, correlation_matrix, null_percent,
-                                         profile_numeric, profile_sketch)
+                                         profile_numeric, profile_sketch, profile_top_values)
 from retenta.registry import register
 from retenta.registry.common import clients, rounded, scores, tables
 from retenta.registry.sql_standins import with_standins
@@ -51,6 +51,20 @@ def q_profile_sketch(spark, sf):
     return profile_sketch(clients(spark, sf), _NUM)
 
 
+_TOP = ["RANG_INGRESO", "FLAG_LIMA_PROVINCIA", "RANG_SDO_PASIVO_MENOS0", "RANG_NRO_PRODUCTOS_MENOS0", "FLG_NOMINA",
+        "NRO_ENTID_SSFF_MENOS0"]
+
+
+@register("profile_top_values", with_standins(
+    "SELECT \"column\", value, n, rank FROM (SELECT \"column\", value, n, CAST(row_number() OVER (PARTITION BY "
+    "\"column\" ORDER BY n DESC, value) AS BIGINT) AS rank FROM (SELECT \"column\", value, count(*) AS n FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM clientes" for c in _TOP)
+    + ") WHERE value IS NOT NULL GROUP BY 1, 2)) WHERE rank <= 5"))
+def q_profile_top_values(spark, sf):
+    """A12 top values: five most frequent values per column."""
+    return profile_top_values(clients(spark, sf), _TOP, 5)
+
+
 _CORR = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "NRO_ENTID_SSFF_MENOS0", "y_prob", "ATTRITION"]
 
 
