@@ -40,8 +40,28 @@ def test_training_and_inference_jobs(spark):
     assert m.where("sample = 'test' AND metric = 'auc'").count() == 2
     champ = res.champion.first()
     assert champ["champion"] in ("random_forest", "xgbost")
-    scores = inference_job(spark, c, r, out, champ["champion"], 200102, "2024-09-01 03:30:00",
+    # the scoring snapshot has no label column
+    scores = inference_job(spark, c.drop("ATTRITION"), r, out, champ["champion"], 200102, "2024-09-01 03:30:00",
                            scratch_path(spark, f"t_scores_{uuid.uuid4().hex[:6]}"))
     assert scores.count() == c.count()
     orders = sorted(x["order"] for x in scores.select("order").collect())
     assert orders == list(range(1, c.count() + 1))
+
+
+def test_cv_std_is_population_std_of_fold_scores(spark):
+    import numpy as np
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from tests.conftest import SF_SMALL
+    tr_c, _, tr_r, _, _ = split_tables(spark, SF_SMALL)
+    train, state = fit_prepare(tr_c, tr_r)
+    tr = T.training_frame(train, state.features, folds=3)
+    rf = T.random_forest(numTrees=5)
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, [2, 4]).build()
+    ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", numBins=0)
+    cvm = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol="fold",
+                         collectSubModels=True).fit(tr)
+    for j in range(len(grid)):
+        scores = [ev.evaluate(cvm.subModels[f][j].transform(tr.where(F.col("fold") == f))) for f in range(3)]
+        assert abs(np.mean(scores) - cvm.avgMetrics[j]) < 1e-9
+        assert abs(np.std(scores) - cvm.stdMetrics[j]) < 1e-9
