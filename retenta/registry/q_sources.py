@@ -39,6 +39,17 @@ def q_filter_month_between(spark, sf):
     return requests(spark, sf).where(F.col(MONTH).between(200010, 200012))
 
 
+@register("filter_month_eq_clients", with_standins(f"SELECT {ALL_COLS} FROM clientes"))
+def q_filter_month_eq_clients(spark, sf):
+    """Snapshots of two months in one table, filtered to one month: the filter on the
+    month literal removes the other month's whole branch from the plan."""
+    from retenta.sources.standins import clients as build
+    from retenta.registry.common import tables
+    t = tables(spark, sf)
+    both = build(t, 200101).unionByName(build(t, 200102))
+    return both.where(F.col(MONTH) == F.lit(200102))
+
+
 @register("filter_month_eq", with_standins(
     "SELECT * FROM requerimientos WHERE CAST(CODMES AS VARCHAR) = '200012'"))
 def q_filter_month_eq(spark, sf):

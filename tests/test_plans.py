@@ -38,3 +38,9 @@ def test_rank_plan_has_no_single_partition_exchange_of_the_data(spark):
     for m in re.finditer(r"Exchange SinglePartition", p):
         below = p[m.end():m.end() + 400]
         assert "HashAggregate" in below, p
+
+
+def test_month_filter_prunes_the_other_month(spark):
+    df = E.queries()["filter_month_eq_clients"](spark, SF_SMALL)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in optimized
