@@ -5,10 +5,12 @@ strategy, value) with the value stored as text (the reference's CSV mixes
 strings and numbers); apply casts it back to the column type.
 
 Mode: most frequent non-null value, ties go to the smallest value
-(``mode(c, true)``). Median: exact interpolated median of non-nulls;
-``approx=True`` switches to ``percentile_approx`` for columns whose number
-of distinct values grows with the data (the exact form keeps one counter per
-distinct value).
+(``mode(c, true)``). Median: exact interpolated median of non-nulls. Both
+are global aggregates whose buffers hold one counter per distinct value
+(partial buffers per task, merged once), so they are used on categorical
+and low-cardinality columns (segments, regions, ages, tenure years);
+``approx=True`` switches the median to ``percentile_approx`` for columns
+whose number of distinct values grows with the data.
 """
 
 from __future__ import annotations
