@@ -47,13 +47,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is. Only when it is unset (local tests) a scratch folder is made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+        return current
+    current = spark.sparkContext.getCheckpointDir()
     if not current:
+        # a core setting cannot change at runtime: set the context's folder instead
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="retenta-ckpt-"))
         current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="retenta-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
