@@ -38,11 +38,12 @@ def _sort_cols(order_cols: Sequence[Column | str]) -> list[Column]:
 
 
 def _range_sorted(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    # without an explicit count AQE sizes the range partitions from runtime
-    # statistics (merging adjacent ranges keeps the order)
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # the cluster sizes spark.sql.shuffle.partitions for its data; an explicit
+    # count keeps the range write parallel even when AQE would merge ranges
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mono"))
     return materialize(tagged, "range-sorted")
