@@ -269,3 +269,10 @@ def q_roc_auc_quality_length(spark, sf):
           f"WITH {DOC_SRC},{eval_ctes('e', 'src')} SELECT threshold, round(youden_j, 6) AS youden_j FROM e_youden")
 def q_youden_quality_length(spark, sf):
     return rounded(youden_threshold(roc_curve(_doc_ys(spark, sf), "y", "s")))
+
+
+@register("select_champion_f1", with_standins(_CHAMP_SQL.format(m="f1"), MODELS_CTES))
+def q_select_champion_f1(spark, sf):
+    """Champion by test F1 (the local tracked variant's rule)."""
+    m = metrics_table(spark, sf).where(F.col("sample") == "test")
+    return rounded(select_champion(m, "f1", PRIORITY))
