@@ -62,11 +62,14 @@ def split_tables(spark, sf_dir, mode: str = "exact"):
     side is a partition-pruned scan instead of a re-derived semi join.
     """
     from pyspark.sql import functions as F
-    from retenta.session import materialize
+    from retenta.session import materialize, materialize_bucketed
     c, r = clients(spark, sf_dir), requests(spark, sf_dir)
     s = materialize(split_assignment(spark, sf_dir, mode), "split-ids")
-    cs = materialize(c.join(s, "ID_CORRELATIVO"), "clients-split", ("split",))
-    rs = materialize(r.join(s, "ID_CORRELATIVO"), "requests-split", ("split",))
+    # both tables bucketed by client id with the same bucket count: the
+    # request profile and its join with the clients need no shuffle
+    cs = materialize_bucketed(c.join(s, "ID_CORRELATIVO"), "clients-split", "ID_CORRELATIVO", partition_by=("split",))
+    rs = materialize_bucketed(r.join(s, "ID_CORRELATIVO"), "requests-split", "ID_CORRELATIVO",
+                              partition_by=("split",))
     side = lambda df, name: df.where(F.col("split") == name).select(*[x for x in df.columns if x != "split"])
     return (side(cs, "train").select(*c.columns), side(cs, "test").select(*c.columns),
             side(rs, "train").select(*r.columns), side(rs, "test").select(*r.columns), s)

@@ -92,3 +92,21 @@ def small_table(df, max_rows: int, name: str = "state"):
     if len(rows) <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema), rows
     return materialize(df, name), None
+
+
+def materialize_bucketed(df, name: str, key: str, buckets: int | None = None,
+                         partition_by: tuple[str, ...] = ()):
+    """Like ``materialize`` but bucketed (and sorted) by ``key`` as a catalog
+    table located in the shared checkpoint folder: later group-bys and joins
+    on ``key`` between tables with the same bucket count read co-located
+    data and need no shuffle."""
+    import uuid
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tag = uuid.uuid4().hex
+    table = f"retenta_{name.replace('-', '_')}_{tag}"
+    w = df.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, f"{name}-{tag}"))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.bucketBy(n, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
