@@ -44,3 +44,10 @@ def test_month_filter_prunes_the_other_month(spark):
     df = E.queries()["filter_month_eq_clients"](spark, SF_SMALL)
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in optimized
+
+
+def test_bucketed_split_tables_need_no_shuffle_for_the_profile(spark):
+    from retenta.registry.common import split_tables
+    tr_r = split_tables(spark, SF_SMALL)[2]
+    p = _plan(request_profile(tr_r))
+    assert "Exchange" not in p, p
