@@ -184,7 +184,8 @@ CV_CTES = SPLIT_CTES + "," + CANDIDATES_SQL.replace("cand AS", "cand AS", 1) + "
 CANDIDATES = ("acctbal", "suppliers", "blend", "blend_copy", "reversed")
 
 
-def cv_table(spark, sf) -> DataFrame:
+def candidate_scores(spark, sf) -> DataFrame:
+    """(name, fold, y, s): every candidate score of every training client, with its fold."""
     tr_c = split_tables(spark, sf)[0]
     folds = kfold_assign(tr_c.select(ID, LABEL), k=3).select(ID, "fold")
     c = clients(spark, sf).select(ID, "NRO_ENTID_SSFF_MENOS0")
@@ -197,7 +198,11 @@ def cv_table(spark, sf) -> DataFrame:
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    auc = roc_auc(long, "y", "s", ["name", "fold"])
+    return long
+
+
+def cv_table(spark, sf) -> DataFrame:
+    auc = roc_auc(candidate_scores(spark, sf), "y", "s", ["name", "fold"])
     cv = auc.groupBy(F.col("name").alias("params")).agg(F.avg("auc").alias("mean_test_score"),
                                                         F.stddev_pop("auc").alias("std_test_score"))
     # one row per grid point: the window is over the (small) grid, not the data
@@ -229,18 +234,7 @@ def q_filter_best_rank(spark, sf):
     "AS tag FROM e_auc) WHERE tag = 'development' GROUP BY name", CV_CTES))
 def q_latest_version(spark, sf):
     """Model versions = (candidate, fold) fits tagged by their AUC; latest development version per name."""
-    tr_c = split_tables(spark, sf)[0]
-    folds = kfold_assign(tr_c.select(ID, LABEL), k=3).select(ID, "fold")
-    c = clients(spark, sf).select(ID, "NRO_ENTID_SSFF_MENOS0")
-    base = scores(spark, sf).join(c, ID).join(folds, ID)
-    b = F.lit(1.0) / (1 + F.coalesce(F.col("NRO_ENTID_SSFF_MENOS0"), F.lit(0)))
-    exprs = {"acctbal": F.col("y_prob"), "suppliers": b, "blend": (F.col("y_prob") + b) / 2,
-             "blend_copy": (F.col("y_prob") + b) / 2, "reversed": 1 - F.col("y_prob")}
-    long = None
-    for n, e in exprs.items():
-        p = base.select(F.lit(n).alias("name"), "fold", F.col(LABEL).alias("y"), e.alias("s"))
-        long = p if long is None else long.unionByName(p)
-    versions = roc_auc(long, "y", "s", ["name", "fold"]).select(
+    versions = roc_auc(candidate_scores(spark, sf), "y", "s", ["name", "fold"]).select(
         "name", (F.col("fold") + 1).alias("version"),
         F.when(F.col("auc") >= 0.5, "development").otherwise("archived").alias("tag"))
     return versions.where(F.col("tag") == "development").groupBy("name").agg(F.max("version").alias("version"))
