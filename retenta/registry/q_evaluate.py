@@ -178,11 +178,7 @@ CV_SQL = ("cv AS (SELECT name AS params, avg(auc) AS mean_test_score, stddev_pop
           "cvr AS (SELECT params, round(mean_test_score, 6) AS mean_test_score, "
           "round(std_test_score, 6) AS std_test_score, round(std_test_score / mean_test_score, 6) AS cv, "
           "CAST(rank() OVER (ORDER BY round(mean_test_score, 12) DESC) AS INTEGER) AS rank_test_score FROM cv)")
-CV_CTES = SPLIT_CTES + "," + CANDIDATES_SQL.replace("cand AS", "cand AS", 1) + "," + eval_ctes("e", "src") + "," + CV_SQL
-
-# Candidate names of the cross-validation table.
-CANDIDATES = ("acctbal", "suppliers", "blend", "blend_copy", "reversed")
-
+CV_CTES = SPLIT_CTES + "," + CANDIDATES_SQL + "," + eval_ctes("e", "src") + "," + CV_SQL
 
 def candidate_scores(spark, sf) -> DataFrame:
     """(name, fold, y, s): every candidate score of every training client, with its fold."""
