@@ -26,3 +26,21 @@ def test_sessions_batch(spark):
     s = jobs.session_activity(e)
     total = s.agg({"n_events": "sum"}).first()[0]
     assert total == e.count()
+
+
+def test_event_scoring_stream_equals_batch(spark):
+    from retenta.plans import training as T
+    from retenta.plans.prepare import fit_prepare
+    from retenta.registry.common import split_tables
+    tr_c, _, tr_r, _, _ = split_tables(spark, SF_SMALL)
+    prepared, state = fit_prepare(tr_c, tr_r)
+    model = T.fit(T.random_forest(numTrees=5), T.training_frame(prepared, state.features))
+    asm = T.assembler(state.features)
+    base = scratch_path(spark, f"t_score_{uuid.uuid4().hex[:6]}")
+    write_event_text(spark, SF_SMALL, f"{base}/in")
+    batch = jobs.score_events(spark.read.text(f"{base}/in"), state, model, asm)
+    stream = jobs.score_events(spark.readStream.schema("value string").text(f"{base}/in"), state, model, asm)
+    jobs.write_append(stream, f"{base}/out", f"{base}/ck")
+    got = spark.read.parquet(f"{base}/out")
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch.select(*got.columns)).count() == 0
