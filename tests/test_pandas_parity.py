@@ -58,3 +58,22 @@ def test_label_codes_match_sorted_vocabulary(spark, labels):
     code = {v: i for i, v in enumerate(vocab)}
     for i, v in enumerate(labels):
         assert got[i] == (code[v] if v is not None else len(vocab))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.integers(0, 5)),
+                min_size=1, max_size=40), st.integers(1, 6))
+def test_distributed_order_matches_window_on_random_ties(spark, rows, parts):
+    from pyspark.sql import Window, functions as F
+    from retenta.operators.ordering import row_number_global, running_sums
+    df = spark.createDataFrame([(i, g, float(s)) for i, (g, s) in enumerate(rows)], "id long, g string, s double")
+    w = Window.partitionBy("g").orderBy(F.col("s").desc(), F.col("id"))
+    want = df.select("id", F.row_number().over(w).alias("rn"))
+    got = row_number_global(df, [F.col("s").desc(), F.col("id")], partition_cols=["g"], name="rn",
+                            num_partitions=parts).select("id", "rn")
+    assert sorted(got.collect()) == sorted(want.collect())
+    agg = df.groupBy("g", "s").agg(F.count(F.lit(1)).alias("n"))
+    cw = Window.partitionBy("g").orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    want_cum = agg.select("g", "s", F.sum("n").over(cw).alias("n_cum"))
+    got_cum = running_sums(agg, ["n"], [F.col("s").desc()], partition_cols=["g"], num_partitions=parts)
+    assert sorted(got_cum.select("g", "s", "n_cum").collect()) == sorted(want_cum.collect())
