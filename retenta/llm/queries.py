@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retenta.llm import mixing, quality
+from retenta.llm import arrow_store, bpe, mixing, quality, simhash, suffix_dedup, toxicity
 from retenta.llm.frames import documents
 
 
@@ -14,15 +14,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(documents(spark, sf_dir))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
 
+def op8_arrow_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_store.written_and_read(documents(spark, sf_dir))
+
+
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op6_source_mixing)}
+    f.__name__: f for f in (
+        op1_suffix_array_dedup, op2_quality_classifier, op3_toxicity, op4_simhash_near_dedup, op6_source_mixing,
+        op8_arrow_token_output, op9_bpe_round_trip)}
 
 SQL: dict[str, str] = {"op6_source_mixing": mixing.SQL}
