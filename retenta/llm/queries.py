@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retenta.llm import arrow_store, bpe, mixing, quality, simhash, suffix_dedup, toxicity
+from retenta.llm import ann, arrow_store, bpe, mixing, quality, simhash, suffix_dedup, topk, toxicity
 from retenta.llm.frames import documents
 
 
@@ -30,10 +30,18 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents(spark, sf_dir))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_arrow_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_store.written_and_read(documents(spark, sf_dir))
 
@@ -44,7 +52,8 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_array_dedup, op2_quality_classifier, op3_toxicity, op4_simhash_near_dedup, op6_source_mixing,
-        op8_arrow_token_output, op9_bpe_round_trip)}
+        op1_suffix_array_dedup, op2_quality_classifier, op3_toxicity, op4_simhash_near_dedup, op5_exact_topk, op6_source_mixing,
+        op7_nearest_neighbours, op8_arrow_token_output, op9_bpe_round_trip)}
 
-SQL: dict[str, str] = {"op6_source_mixing": mixing.SQL}
+SQL: dict[str, str] = {
+    "op5_exact_topk": topk.SQL, "op6_source_mixing": mixing.SQL, "op7_nearest_neighbours": ann.SQL}
