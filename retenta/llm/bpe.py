@@ -1,16 +1,19 @@
 """BPE encoding and decoding through a table of distinct words.
 
 1. Documents are dealt to blocks by hash; their texts travel compressed, many to a row.
-2. Each block lists its distinct words; the lists meet in one table sorted by word, where
-   each distinct word is encoded once, however many blocks and positions hold it.
-3. The words' ids go back to the blocks that asked, and each document's ids are joined from
-   its words by position.
-4. Decoding joins ids with the vocabulary's pieces (a table of fixed size in each task) and
+2. Each block lists its distinct words, in the order in which they first occur, and deals them
+   by hash to parts: a row is one block's words of one part, compressed.
+3. A part holds all blocks' askings for its words. Each distinct word is encoded once,
+   however many blocks and positions hold it, and every asking is answered by the ids of its
+   words in the order asked.
+4. A block joins the answers with its words, and each document's ids with its words by position.
+5. Decoding joins ids with the vocabulary's pieces (a table of fixed size in each task) and
    reads the joined bytes as UTF-8, invalid ones replaced.
 
-What travels is the text once, compressed, and each block's distinct words twice; positions
-never do. A frequent word is one row a block, so no key grows with the corpus. Blocks are
-as many as shuffle partitions, with keys that Spark's hash sends one to each.
+What travels is the text once, compressed, and each block's distinct words and their ids;
+positions never do. A frequent word is asked for once a block, so no key grows with the
+corpus. Blocks and parts are as many as shuffle partitions, with keys that Spark's hash
+sends one to each, so a task holds one block or one part whatever the corpus.
 
 Words: the vocabulary's splitting rule never joins across a blank but takes one blank to the
 word after it, and leaves a run of white space its last sign if a word follows. Pieces cut by
@@ -27,12 +30,12 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,6 +43,8 @@ from retenta.llm import tokenizer
 from retenta.llm.frames import arrow_map, column, partitions, slabs
 
 VOCABULARY = "byte_bpe_50k.json"
+#: Compression of what travels.
+LEVEL = 5
 #: White space as Unicode has it, which the vocabulary's splitting rule goes by.
 BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]")
@@ -56,86 +61,105 @@ def _block_keys(spark, n: int) -> list[int]:
     return [r.key for r in rows]
 
 
+def _joined(parts: list[bytes]) -> bytes:
+    """Byte strings as one compressed value: their lengths, then they themselves."""
+    sizes = np.array([len(p) for p in parts], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=LEVEL).compress(len(parts).to_bytes(4, "little") + sizes + b"".join(parts))
+
+
+def _parted(data: bytes) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(data[:4], "little")
+    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4)) + 4 + 4 * n
+    return [data[a:b] for a, b in itertools.pairwise([4 + 4 * n, *ends.tolist()])]
+
+
 def _packed(keys: list[int]) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
         places = np.array(keys, np.int32)
         for part, texts in slabs(batches, limit=16 << 20):
             block = places[part.column("h").to_numpy() % len(keys)]
             order = np.argsort(block, kind="stable")
             ids = part.column("doc_id").take(pa.array(order))
             edge = np.append(np.flatnonzero(np.diff(block[order], prepend=block[order[0]] - 1)), len(order))
-            rows = [(int(block[order[a]]), ids[a:b].to_pylist(), [len(texts[i]) for i in order[a:b]],
-                     press.compress(b"".join(texts[i] for i in order[a:b]))) for a, b in itertools.pairwise(edge.tolist())]
+            rows = [(int(block[order[a]]), ids[a:b].to_pylist(), _joined([texts[i] for i in order[a:b]]))
+                    for a, b in itertools.pairwise(edge.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                 pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.binary())],
-                ["block", "ids", "sizes", "data"])
+                 pa.array([r[2] for r in rows], pa.binary())], ["block", "ids", "texts"])
     return pack
 
 
-def _texts(sizes: list[int], data: bytes) -> Iterator[str]:
-    whole, at = zstandard.ZstdDecompressor().decompress(data), 0
-    for n in sizes:
-        yield whole[at:at + n].decode("utf-8", "replace")
-        at += n
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, set[str]] = {}
-    for batch in batches:
-        for block, sizes, data in zip(*(batch.column(x).to_pylist() for x in ("block", "sizes", "data")), strict=True):
-            words = found.setdefault(block, set())
-            for text in _texts(sizes, data):
-                words.update(_PIECE.findall(text))
-    for block, words in found.items():
-        words = iter(words)
-        while some := list(itertools.islice(words, 50_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([block] * len(some), pa.int32())], ["word", "block"])
-
-
-def _encoded(path: str, dtype: str) -> Callable:
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_ids = None, b""
-        for batch in batches:  # sorted by word
-            if not batch.num_rows:
-                continue
-            runs = pc.run_end_encode(batch.column("word"))
-            words, ends = runs.values.to_pylist(), np.asarray(runs.run_ends)
-            new = words[1:] if words[0] == last else words
-            ids = [np.array(x, dtype).tobytes() for x in tokenizer.encode(path, new)]
-            ids = [last_ids, *ids] if len(new) < len(words) else ids
-            last, last_ids = words[-1], ids[-1]
-            every = pa.array(ids, pa.binary()).take(pa.array(np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("word"), every], ["block", "word", "ids"])
-    return encode
+def _words_of(packs: list[bytes], parts: int) -> list[list[str]]:
+    """A block's distinct words by part. The order is that of their first occurrence, packs
+    sorted, so it is the same however the packs arrive."""
+    words: dict[str, None] = {}
+    for pack in sorted(packs):
+        for text in _parted(pack):
+            words.update(dict.fromkeys(_PIECE.findall(text.decode("utf-8", "replace"))))
+    out: list[list[str]] = [[] for _ in range(parts)]
+    for word in words:
+        out[zlib.crc32(word.encode()) % parts].append(word)
+    return out
+
+
+def _asked(keys: list[int]) -> Callable:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for block, pack in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist(), strict=True):
+                packs.setdefault(block, []).append(pack)
+        for block, mine in packs.items():
+            rows = [(key, _joined([w.encode() for w in words])) for key, words in zip(keys, _words_of(mine, len(keys)), strict=True) if words]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array([w for _, w in rows], pa.binary())],
+                ["part", "block", "words"])
+    return ask
+
+
+def _answered(path: str, dtype: str) -> Callable:
+    def answer(asked: pa.Table) -> pa.Table:
+        lists = [[w.decode() for w in _parted(x)] for x in asked.column("words").to_pylist()]
+        distinct = list(dict.fromkeys(itertools.chain.from_iterable(lists)))
+        ids = {}
+        for at in range(0, len(distinct), 1 << 15):
+            some = distinct[at:at + (1 << 15)]
+            ids.update(zip(some, (np.array(x, dtype).tobytes() for x in tokenizer.encode(path, some)), strict=True))
+        return pa.table({"part": asked.column("part"), "block": asked.column("block"),
+                         "answers": pa.array([_joined([ids[w] for w in words]) for words in lists], pa.binary())})
+    return answer
 
 
 def _by_block(docs: DataFrame, path: str, values: Callable[[np.ndarray], tuple], schema: str, names: list[str]) -> DataFrame:
     """doc_id and ``values`` of the ids of every document."""
     spark = docs.sparkSession
     n = partitions(spark)
+    keys, dtype = _block_keys(spark, n), tokenizer.dtype_of(path)
+    place = {key: i for i, key in enumerate(keys)}
     rows = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text"))
     rows = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)))
-    packed = arrow_map(rows, _packed(_block_keys(spark, n)), "block int, ids array<long>, sizes array<int>, data binary")
-    packed = packed.repartition(n, "block")
-    words = arrow_map(packed, _words, "word string, block int").repartition(n, "word").sortWithinPartitions("word")
-    dtype = tokenizer.dtype_of(path)
-    table = arrow_map(words, _encoded(path, dtype), "block int, word string, ids binary")
+    packed = arrow_map(rows, _packed(keys), "block int, ids array<long>, texts binary").repartition(n, "block")
+    asked = arrow_map(packed, _asked(keys), "part int, block int, words binary")
+    answers = asked.groupBy("part").applyInArrow(_answered(path, dtype), "part int, block int, answers binary")
 
     def join(texts: pa.Table, found: pa.Table) -> pa.Table:
-        ids_of = dict(zip(found.column("word").to_pylist(), found.column("ids").to_pylist(), strict=True))
+        packs = texts.column("texts").to_pylist()
+        words = _words_of(packs, len(keys))
+        ids_of: dict[str, bytes] = {}
+        for key, answer in zip(found.column("part").to_pylist(), found.column("answers").to_pylist(), strict=True):
+            ids_of.update(zip(words[place[key]], _parted(answer), strict=True))
+        del words
         out = [[] for _ in names]
-        for ids, sizes, data in zip(*(texts.column(x).to_pylist() for x in ("ids", "sizes", "data")), strict=True):
+        for ids, pack in zip(texts.column("ids").to_pylist(), packs, strict=True):
             out[0] += ids
-            for text in _texts(sizes, data):
-                got = np.frombuffer(b"".join(map(ids_of.__getitem__, _PIECE.findall(text))), dtype)
-                for place, value in zip(out[1:], values(got), strict=True):
-                    place.append(value)
+            for text in _parted(pack):
+                found_ids = b"".join(map(ids_of.__getitem__, _PIECE.findall(text.decode("utf-8", "replace"))))
+                for column_of, value in zip(out[1:], values(np.frombuffer(found_ids, dtype)), strict=True):
+                    column_of.append(value)
         kinds = [pa.int64(), *(pa.int64() if c == "n_tokens" else pa.list_(pa.int32()) if c == "ids" else pa.string() for c in names[1:])]
         return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
-    return packed.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(join, schema)
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)
 
 
 class Pieces:

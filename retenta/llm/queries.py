@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retenta.llm import ann, arrow_store, bpe, mixing, quality, simhash, suffix_dedup, topk, toxicity
+from retenta.llm import ann, arrow_store, bpe, line_dedup, mixing, quality, simhash, suffix_dedup, topk, toxicity
 from retenta.llm.frames import documents
 
 
@@ -50,10 +50,14 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removal_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_quality_classifier, op3_toxicity, op4_simhash_near_dedup, op5_exact_topk, op6_source_mixing,
-        op7_nearest_neighbours, op8_arrow_token_output, op9_bpe_round_trip)}
+        op7_nearest_neighbours, op8_arrow_token_output, op9_bpe_round_trip, op10_line_dedup)}
 
 SQL: dict[str, str] = {
     "op5_exact_topk": topk.SQL, "op6_source_mixing": mixing.SQL, "op7_nearest_neighbours": ann.SQL}

@@ -17,8 +17,8 @@ until a position is unique or h passes the threshold. Here:
 * Round 2 expands only those into single positions and sorts them by their names at 100
   bytes (two independent names, 128 bits); each but the earliest of a group is repeated.
 
-Every task keeps only the first of equal names it meets itself and reports the others at
-once (a map-side combine that is exact, since the first is earlier), so a passage that
+Every task keeps only the first of equal names it meets itself and reports runs of the others
+at once (a map-side combine that is exact, since the first is earlier), so a passage that
 a third of all documents hold reaches the sort a few times per task. After the sort a task
 reads its rows as a stream and holds one row of a group at a time.
 
@@ -40,6 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from retenta.llm.frames import arrow_map, column, partitions, row_variant, utf8
@@ -132,18 +133,34 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def _merged(doc: np.ndarray, variant: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of window starts, adjacent ones of a document joined."""
+    rows = np.lexsort((start, variant, doc))
+    doc, variant, start, n = doc[rows], variant[rows], start[rows], n[rows]
+    new = np.append(True, (doc[1:] != doc[:-1]) | (variant[1:] != variant[:-1]) | (start[1:] != start[:-1] + n[:-1]))[:len(doc)]
+    first = np.flatnonzero(new)
+    return doc[first], variant[first], start[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _combined(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Of (doc, variant, start, n, anchor, name) columns: the first row of each name, and runs
+    of all others without names."""
+    doc, variant, start, n, anchor, name = (np.concatenate(x) for x in zip(*held, strict=True))
+    rows, new = _first_of_each((anchor, name), (doc, variant, start))
+    again, rows = rows[~new], rows[new]
+    known = _merged(doc[again], variant[again], start[again], n[again])
+    places = [np.concatenate(x) for x in zip((doc[rows], variant[rows], start[rows], n[rows]), known, strict=True)]
+    none = np.arange(len(places[0])) >= len(rows)
+    names = [pa.array(np.append(_signed(x[rows]), np.zeros(len(known[0]), np.int64)), mask=none) for x in (anchor, name)]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    yield pa.RecordBatch.from_arrays([*names, *(pa.array(x, k) for x, k in zip(places, kinds, strict=True))],
+                                     ["anchor", "name", "doc_id", "variant", "start", "n"])
+
+
 def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's first of each span with its names, and its other spans without (anchor null)."""
+    """A task's first of each span with its names; runs of its other spans."""
     held: list[tuple] = []
     count = 0
-
-    def combined():
-        doc, variant, start, n, anchor, name = (np.concatenate(x) for x in zip(*held, strict=True))
-        rows, new = _first_of_each((anchor, name), (doc, variant, start))
-        cols = [pa.array(_signed(anchor[rows]), mask=~new), pa.array(_signed(name[rows])), pa.array(doc[rows]),
-                pa.array(variant[rows]), pa.array(start[rows].astype(np.int32)), pa.array(n[rows].astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(cols, ["anchor", "name", "doc_id", "variant", "start", "n"])
-
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         variants = batch.column("variant").to_pylist()
@@ -153,10 +170,10 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.append((np.full(len(n), doc, np.int64), np.full(len(n), variant, np.int64), start + at, n, anchor, name))
                 count += len(n)
             if count >= COMBINE:
-                yield from combined()
+                yield from _combined(held)
                 held, count = [], 0
     if held:
-        yield from combined()
+        yield from _combined(held)
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -207,21 +224,12 @@ def _resolve_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's first of each window with both names, and its other windows without (anchor null)."""
+    """A task's first of each window with both names; runs of its other windows."""
     held: list[tuple] = []
     count = 0
-
-    def combined():
-        doc, variant, start, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-        rows, new = _first_of_each((a, b), (doc, variant, start))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_signed(a[rows]), mask=~new), pa.array(_signed(b[rows])), pa.array(doc[rows]), pa.array(variant[rows]),
-             pa.array(start[rows].astype(np.int32)), pa.array(np.ones(len(rows), np.int32))],
-            ["anchor", "name", "doc_id", "variant", "start", "n"])
-
     for batch in batches:
         lists = batch.column("spans")
-        texts = utf8(batch.column("text"))
+        texts = list(_unpacked(batch.column("packed")))
         for i, (doc, variant) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("doc_id", "variant")), strict=True)):
             spans = lists[i].values
             start, n = (np.asarray(spans.field(x)).astype(np.int64) for x in ("start", "n"))
@@ -232,14 +240,27 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = np.flatnonzero(np.append(True, (start[1:] > start[:-1] + n[:-1]) | (np.cumsum(n)[1:] // SLICE > np.cumsum(n)[:-1] // SLICE)))
             for s, e in zip(start[cut], np.append(start[cut[1:] - 1] + n[cut[1:] - 1], start[-1] + n[-1]), strict=True):
                 part = data[s:e + LENGTH - 1]
-                held.append((np.full(e - s, doc, np.int64), np.full(e - s, variant, np.int64), np.arange(s, e),
+                held.append((np.full(e - s, doc, np.int64), np.full(e - s, variant, np.int64), np.arange(s, e), np.ones(e - s, np.int64),
                              _doubled(part, LENGTH, 0), _doubled(part, LENGTH, 9)))
                 count += e - s
             if count >= COMBINE:
-                yield from combined()
+                yield from _combined(held)
                 held, count = [], 0
     if held:
-        yield from combined()
+        yield from _combined(held)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the two joins that move them."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("variant"), pa.array(
+            [press.compress(x) for x in utf8(batch.column("text"))], pa.binary())], ["doc_id", "variant", "packed"])
+
+
+def _unpacked(column: pa.Array) -> Iterator[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return (press.decompress(x) for x in column.to_pylist())
 
 
 def _sorted_rows(rows: DataFrame) -> DataFrame:
@@ -250,11 +271,12 @@ def _sorted_rows(rows: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents as doc_id, variant, text; the runs of repeated window starts as doc_id,
+    """(documents as doc_id, variant, packed text; the runs of repeated window starts as doc_id,
     variant, start, n)."""
     texts = docs.select(F.coalesce(column(docs, "doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
                         row_variant(docs).alias("variant"), column(docs, "text").alias("text"))
     first = arrow_map(texts, _span_rows, SPANS)
+    texts = arrow_map(texts, _packed, "doc_id long, variant long, packed binary")
     found = materialize(arrow_map(_sorted_rows(first), _resolve_spans, FOUND), "repeat-spans")
     ask = (found.where("kind = 2").select("doc_id", "variant", "start", "n").distinct()
            .groupBy("doc_id", "variant").agg(F.collect_list(F.struct("start", "n")).alias("spans")))
@@ -297,13 +319,13 @@ def _cut(docs: DataFrame, last: str, kind: pa.DataType, value) -> DataFrame:
     def cut(batches):
         for batch in batches:
             lists = batch.column("runs")
-            rows = [_kept(t, lists[i].values if lists[i].is_valid else None) for i, t in enumerate(utf8(batch.column("text")))]
+            rows = [_kept(t, lists[i].values if lists[i].is_valid else None) for i, t in enumerate(_unpacked(batch.column("packed")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(k) + r for k, r, _ in rows], pa.int64()),
                  pa.array([r for _, r, _ in rows], pa.int64()), pa.array([s for _, _, s in rows], pa.int64()),
                  pa.array([value(k) for k, _, _ in rows], kind)], ["doc_id", "n_bytes", "n_removed", "n_spans", last])
 
-    out = arrow_map(both.select("doc_id", "text", "runs"), cut,
+    out = arrow_map(both.select("doc_id", "packed", "runs"), cut,
                     f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} {'binary' if kind == pa.binary() else 'string'}")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
