@@ -22,6 +22,7 @@ no file and an empty result; a text longer than a sequence runs over as many as
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -135,24 +136,25 @@ def write_tokens(docs: DataFrame, uri: str, path: str, end_id: int = END_ID, seq
     close = np.array([end_id], dtype).tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, out, place, at = TaskContext.get().partitionId(), None, 0, 0
-        words = tokenizer.WordIds(path, dtype)
+        part, out, place, start = TaskContext.get().partitionId(), None, 0, 0
+        words = tokenizer.WordIds.of(path, dtype)
         for rows in batches:
             if not rows.num_rows:
                 continue
             out = out or _Part(uri, _name(part), dtype, sequence, batch)
             counts = []
-            for text in rows.column("text").to_pylist():
-                pieces = text.replace("\n", " ").split(" ")
-                words.learn(pieces)
-                ids = words.ids(pieces) + close
-                out.add(ids)
-                counts.append(len(ids) // len(close))
+            for at in range(0, rows.num_rows, 256):
+                texts = [text.replace("\n", " ").split(" ") for text in rows.column("text").slice(at, 256).to_pylist()]
+                words.learn(itertools.chain.from_iterable(texts))
+                for pieces in texts:
+                    ids = words.ids(pieces) + close
+                    out.add(ids)
+                    counts.append(len(ids) // len(close))
             ends = np.cumsum(counts)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(np.full(len(counts), part, np.int32)), pa.array(np.arange(place, place + len(counts))),
-                 pa.array(at + ends - counts), pa.array(np.array(counts, np.int64))], ["doc_id", "part", "place", "start", "n_tokens"])
-            place, at = place + len(counts), at + int(ends[-1])
+                 pa.array(start + ends - counts), pa.array(np.array(counts, np.int64))], ["doc_id", "part", "place", "start", "n_tokens"])
+            place, start = place + len(counts), start + int(ends[-1])
         if out:
             out.close()
 

@@ -18,7 +18,7 @@ sends one to each, so a task holds one block or one part whatever the corpus.
 Words: the vocabulary's splitting rule never joins across a blank but takes one blank to the
 word after it, and leaves a run of white space its last sign if a word follows. Pieces cut by
 the same rule (`` ?non-blanks``, a run up to its last sign, one sign) are therefore encoded
-alone as in the text.
+alone as in the text. Special tokens part a text first, as in the library.
 
 Edge cases: null texts are empty (no ids); null doc_ids and repeated rows stay rows of their
 own; special tokens' names in a text are taken as the library takes them; an empty table
@@ -50,8 +50,14 @@ BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]")
 
 
-def pieces(text: str) -> list[str]:
-    return _PIECE.findall(text)
+def pieces(text: str, specials: tuple[str, ...]) -> list[str]:
+    """``specials``: the vocabulary's special tokens, which part a text before the rule."""
+    if not any(s in text for s in specials):
+        return _PIECE.findall(text)
+    out = []
+    for i, part in enumerate(re.split("(" + "|".join(map(re.escape, specials)) + ")", text)):
+        out += [part] if i % 2 else _PIECE.findall(part)
+    return out
 
 
 def _block_keys(spark, n: int) -> list[int]:
@@ -90,27 +96,27 @@ def _packed(keys: list[int]) -> Callable:
     return pack
 
 
-def _words_of(packs: list[bytes], parts: int) -> list[list[str]]:
+def _words_of(packs: list[bytes], parts: int, specials: tuple[str, ...]) -> list[list[str]]:
     """A block's distinct words by part. The order is that of their first occurrence, packs
     sorted, so it is the same however the packs arrive."""
     words: dict[str, None] = {}
     for pack in sorted(packs):
         for text in _parted(pack):
-            words.update(dict.fromkeys(_PIECE.findall(text.decode("utf-8", "replace"))))
+            words.update(dict.fromkeys(pieces(text.decode("utf-8", "replace"), specials)))
     out: list[list[str]] = [[] for _ in range(parts)]
     for word in words:
         out[zlib.crc32(word.encode()) % parts].append(word)
     return out
 
 
-def _asked(keys: list[int]) -> Callable:
+def _asked(keys: list[int], specials: tuple[str, ...]) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packs: dict[int, list[bytes]] = {}
         for batch in batches:
             for block, pack in zip(batch.column("block").to_pylist(), batch.column("texts").to_pylist(), strict=True):
                 packs.setdefault(block, []).append(pack)
         for block, mine in packs.items():
-            rows = [(key, _joined([w.encode() for w in words])) for key, words in zip(keys, _words_of(mine, len(keys)), strict=True) if words]
+            rows = [(key, _joined([w.encode() for w in words])) for key, words in zip(keys, _words_of(mine, len(keys), specials), strict=True) if words]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int32()), pa.array([w for _, w in rows], pa.binary())],
                 ["part", "block", "words"])
@@ -121,10 +127,7 @@ def _answered(path: str, dtype: str) -> Callable:
     def answer(asked: pa.Table) -> pa.Table:
         lists = [[w.decode() for w in _parted(x)] for x in asked.column("words").to_pylist()]
         distinct = list(dict.fromkeys(itertools.chain.from_iterable(lists)))
-        ids = {}
-        for at in range(0, len(distinct), 1 << 15):
-            some = distinct[at:at + (1 << 15)]
-            ids.update(zip(some, (np.array(x, dtype).tobytes() for x in tokenizer.encode(path, some)), strict=True))
+        ids = dict(zip(distinct, tokenizer.encode(path, distinct, dtype), strict=True))
         return pa.table({"part": asked.column("part"), "block": asked.column("block"),
                          "answers": pa.array([_joined([ids[w] for w in words]) for words in lists], pa.binary())})
     return answer
@@ -134,17 +137,17 @@ def _by_block(docs: DataFrame, path: str, values: Callable[[np.ndarray], tuple],
     """doc_id and ``values`` of the ids of every document."""
     spark = docs.sparkSession
     n = partitions(spark)
-    keys, dtype = _block_keys(spark, n), tokenizer.dtype_of(path)
+    keys, dtype, specials = _block_keys(spark, n), tokenizer.dtype_of(path), tokenizer.specials(path)
     place = {key: i for i, key in enumerate(keys)}
     rows = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text"))
     rows = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)))
     packed = arrow_map(rows, _packed(keys), "block int, ids array<long>, texts binary").repartition(n, "block")
-    asked = arrow_map(packed, _asked(keys), "part int, block int, words binary")
+    asked = arrow_map(packed, _asked(keys, specials), "part int, block int, words binary")
     answers = asked.groupBy("part").applyInArrow(_answered(path, dtype), "part int, block int, answers binary")
 
     def join(texts: pa.Table, found: pa.Table) -> pa.Table:
         packs = texts.column("texts").to_pylist()
-        words = _words_of(packs, len(keys))
+        words = _words_of(packs, len(keys), specials)
         ids_of: dict[str, bytes] = {}
         for key, answer in zip(found.column("part").to_pylist(), found.column("answers").to_pylist(), strict=True):
             ids_of.update(zip(words[place[key]], _parted(answer), strict=True))
@@ -153,7 +156,7 @@ def _by_block(docs: DataFrame, path: str, values: Callable[[np.ndarray], tuple],
         for ids, pack in zip(texts.column("ids").to_pylist(), packs, strict=True):
             out[0] += ids
             for text in _parted(pack):
-                found_ids = b"".join(map(ids_of.__getitem__, _PIECE.findall(text.decode("utf-8", "replace"))))
+                found_ids = b"".join(map(ids_of.__getitem__, pieces(text.decode("utf-8", "replace"), specials)))
                 for column_of, value in zip(out[1:], values(np.frombuffer(found_ids, dtype)), strict=True):
                     column_of.append(value)
         kinds = [pa.int64(), *(pa.int64() if c == "n_tokens" else pa.list_(pa.int32()) if c == "ids" else pa.string() for c in names[1:])]

@@ -14,8 +14,14 @@ until a position is unique or h passes the threshold. Here:
 * Round 1 sorts spans by (anchor's name, name of the span, document, start). A span that
   equals an earlier one is wholly repeated. Spans whose anchor occurs in no other text are
   unique. What is left are spans that share an anchor but differ somewhere.
-* Round 2 expands only those into single positions and sorts them by their names at 100
-  bytes (two independent names, 128 bits); each but the earliest of a group is repeated.
+* Round 2 cuts only those into blocks of ``STEP`` windows, placed by the anchor, and sorts the
+  blocks by the name of what all their windows have in common (``LENGTH - STEP + 1`` bytes)
+  and by the name of the whole block, with the same three outcomes.
+* Round 3 expands what is still left into single positions and sorts them by their names at
+  100 bytes (two independent names, 128 bits); each but the earliest of a group is repeated.
+
+The offsets thus grow from 32 over 93 to 100 bytes, and each round holds only the positions
+that the one before could not decide.
 
 Every task keeps only the first of equal names it meets itself and reports runs of the others
 at once (a map-side combine that is exact, since the first is earlier), so a passage that
@@ -48,6 +54,7 @@ from retenta.session import materialize
 
 LENGTH = 100
 ANCHOR = 32
+STEP = 8
 #: Window starts handled at once, and spans or positions that a task combines at once.
 SLICE = 1 << 19
 COMBINE = 1 << 20
@@ -89,10 +96,9 @@ def _doubled(data: np.ndarray, length: int, salt: int) -> np.ndarray:
     return names
 
 
-def _spans(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of one document's bytes: first window, number of windows, anchor's name and span's
-    name of each span. ``data`` holds LENGTH bytes at least and SLICE windows at most."""
-    windows = len(data) - LENGTH + 1
+def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The names of length ANCHOR at all positions, and each window's anchor. ``data`` holds
+    LENGTH bytes at least and SLICE windows at most."""
     names = _doubled(data, ANCHOR, 0)
     low = (names & ~_PLACE) | np.arange(len(names), dtype=U)
     width, h = LENGTH - ANCHOR + 1, 1
@@ -100,16 +106,38 @@ def _spans(data: np.ndarray) -> tuple[np.ndarray, ...]:
         step = min(h, width - h)
         low = np.minimum(low[:len(low) - step], low[step:])
         h += step
-    anchor = (low & _PLACE).astype(np.int64)
+    return names, (low & _PLACE).astype(np.int64)
+
+
+def _name_of(eights: np.ndarray, start: np.ndarray, size: np.ndarray, most: int, salt: int) -> np.ndarray:
+    """Names of the byte runs at ``start``, ``size`` long (8 to ``most``)."""
+    name, last = size.astype(U), start + size - 8
+    for j in range(0, most, 8):
+        name = _pair(name, eights[np.minimum(start + j, last)], salt)
+    return name
+
+
+def _spans(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, anchor's name and span's name of each span."""
+    names, anchor = _anchors(data)
     start = np.flatnonzero(np.diff(anchor, prepend=-1))
-    n = np.diff(start, append=windows)
+    n = np.diff(start, append=len(anchor))
     anchor = anchor[start]
-    eights = _eights(data)
-    last = start + n - 1 + LENGTH - 8
-    name = (n * LENGTH + (anchor - start)).astype(U)
-    for j in range(0, 2 * LENGTH - ANCHOR, 8):
-        name = _pair(name, eights[np.minimum(start + j, last)], 5)
-    return start, n, names[anchor], name
+    name = _name_of(_eights(data), start, n - 1 + LENGTH, 2 * LENGTH - ANCHOR, 5)
+    return start, n, names[anchor], _pair(name, (anchor - start).astype(U), 6)
+
+
+def _blocks(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, name of what a whole block's windows have in common
+    and name of the block, for blocks of STEP windows counted from the anchor."""
+    _, anchor = _anchors(data)
+    block = (np.arange(len(anchor)) - anchor) // STEP * STEP + anchor
+    start = np.flatnonzero(np.append(True, (np.diff(anchor) != 0) | (np.diff(block) != 0)))
+    n = np.diff(start, append=len(anchor))
+    block, eights = block[start], _eights(data)
+    common = _name_of(eights, block + STEP - 1, np.full(len(block), LENGTH - STEP + 1), LENGTH - STEP + 1, 11)
+    name = _name_of(eights, start, n - 1 + LENGTH, LENGTH + STEP - 1, 12)
+    return start, n, common, _pair(name, (start - block).astype(U), 13)
 
 
 def _slices(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
@@ -157,23 +185,16 @@ def _combined(held: list[tuple]) -> Iterator[pa.RecordBatch]:
                                      ["anchor", "name", "doc_id", "variant", "start", "n"])
 
 
-def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's first of each span with its names; runs of its other spans."""
-    held: list[tuple] = []
-    count = 0
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, np.ndarray]]:
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        variants = batch.column("variant").to_pylist()
+        ids, variants = batch.column("doc_id").to_pylist(), batch.column("variant").to_pylist()
         for doc, variant, text in zip(ids, variants, utf8(batch.column("text")), strict=True):
             for at, data in _slices(text):
-                start, n, anchor, name = _spans(data)
-                held.append((np.full(len(n), doc, np.int64), np.full(len(n), variant, np.int64), start + at, n, anchor, name))
-                count += len(n)
-            if count >= COMBINE:
-                yield from _combined(held)
-                held, count = [], 0
-    if held:
-        yield from _combined(held)
+                yield doc, variant, at, data
+
+
+def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _rows_of(_whole(batches), _spans)
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -223,33 +244,55 @@ def _resolve_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         pending = None if shared[-1] else (doc[tail], variant[tail], start[tail], n[tail])
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's first of each window with both names; runs of its other windows."""
+def _asked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """doc_id, variant, first window and bytes of each run of asked windows; neighbouring
+    spans are one run, up to SLICE windows."""
+    lists = batch.column("spans")
+    for i, text in enumerate(_unpacked(batch.column("packed"))):
+        doc, variant, spans = batch.column("doc_id")[i].as_py(), batch.column("variant")[i].as_py(), lists[i].values
+        start, n = (np.asarray(spans.field(x)).astype(np.int64) for x in ("start", "n"))
+        order = np.argsort(start)
+        start, n = start[order], n[order]
+        run = np.cumsum(n) // (SLICE // 2)
+        cut = np.flatnonzero(np.append(True, (start[1:] > start[:-1] + n[:-1]) | (run[1:] > run[:-1])))
+        ends = np.append(start[cut[1:] - 1] + n[cut[1:] - 1], start[-1] + n[-1])
+        data = np.frombuffer(text, np.uint8)
+        for s, e in zip(start[cut].tolist(), ends.tolist(), strict=True):
+            for at in range(s, e, SLICE):
+                yield doc, variant, at, data[at:min(e, at + SLICE) + LENGTH - 1]
+
+
+def _singles(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each window alone, with its two names."""
+    n = len(data) - LENGTH + 1
+    return np.arange(n), np.ones(n, np.int64), _doubled(data, LENGTH, 0), _doubled(data, LENGTH, 9)
+
+
+def _rows_of(parts: Iterator[tuple], cut) -> Iterator[pa.RecordBatch]:
+    """``cut`` gives first window, number of windows and two names of the pieces of a part
+    (doc_id, variant, first window, bytes). A task's first of each name goes out with its
+    names, the others as runs."""
     held: list[tuple] = []
     count = 0
-    for batch in batches:
-        lists = batch.column("spans")
-        texts = list(_unpacked(batch.column("packed")))
-        for i, (doc, variant) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("doc_id", "variant")), strict=True)):
-            spans = lists[i].values
-            start, n = (np.asarray(spans.field(x)).astype(np.int64) for x in ("start", "n"))
-            order = np.argsort(start)
-            start, n = start[order], n[order]
-            data = np.frombuffer(texts[i], np.uint8)
-            # neighbouring spans are doubled together
-            cut = np.flatnonzero(np.append(True, (start[1:] > start[:-1] + n[:-1]) | (np.cumsum(n)[1:] // SLICE > np.cumsum(n)[:-1] // SLICE)))
-            for s, e in zip(start[cut], np.append(start[cut[1:] - 1] + n[cut[1:] - 1], start[-1] + n[-1]), strict=True):
-                part = data[s:e + LENGTH - 1]
-                held.append((np.full(e - s, doc, np.int64), np.full(e - s, variant, np.int64), np.arange(s, e), np.ones(e - s, np.int64),
-                             _doubled(part, LENGTH, 0), _doubled(part, LENGTH, 9)))
-                count += e - s
-            if count >= COMBINE:
-                yield from _combined(held)
-                held, count = [], 0
+    for doc, variant, at, data in parts:
+        start, n, anchor, name = cut(data)
+        held.append((np.full(len(n), doc, np.int64), np.full(len(n), variant, np.int64), start + at, n, anchor, name))
+        count += len(n)
+        if count >= COMBINE:
+            yield from _combined(held)
+            held, count = [], 0
     if held:
         yield from _combined(held)
 
 
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _rows_of((part for batch in batches for part in _asked(batch)), _blocks)
+
+
+def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _rows_of((part for batch in batches for part in _asked(batch)), _singles)
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the two joins that move them."""
     press = zstandard.ZstdCompressor(level=3)
@@ -278,11 +321,15 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = arrow_map(texts, _span_rows, SPANS)
     texts = arrow_map(texts, _packed, "doc_id long, variant long, packed binary")
     found = materialize(arrow_map(_sorted_rows(first), _resolve_spans, FOUND), "repeat-spans")
-    ask = (found.where("kind = 2").select("doc_id", "variant", "start", "n").distinct()
-           .groupBy("doc_id", "variant").agg(F.collect_list(F.struct("start", "n")).alias("spans")))
-    windows = arrow_map(ask.join(texts, ["doc_id", "variant"]), _window_rows, SPANS)
-    single = arrow_map(_sorted_rows(windows), _resolve_windows, FOUND)
-    runs = found.where("kind = 1").unionByName(single).select("doc_id", "variant", "start", "n")
+
+    def asked(found: DataFrame) -> DataFrame:
+        ask = found.where("kind = 2").select("doc_id", "variant", "start", "n").distinct()
+        ask = ask.groupBy("doc_id", "variant").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+        return ask.join(texts, ["doc_id", "variant"])
+
+    blocks = arrow_map(_sorted_rows(arrow_map(asked(found), _block_rows, SPANS)), _resolve_spans, FOUND)
+    single = arrow_map(_sorted_rows(arrow_map(asked(blocks), _window_rows, SPANS)), _resolve_windows, FOUND)
+    runs = found.unionByName(blocks).where("kind = 1").unionByName(single).select("doc_id", "variant", "start", "n")
     return texts, runs
 
 

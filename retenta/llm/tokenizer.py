@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -25,24 +26,60 @@ def dtype_of(path: str, also: int = 0) -> str:
     return "<u2" if max(load(path).get_vocab_size(), also + 1) <= 1 << 16 else "<u4"
 
 
-def encode(path: str, texts: list[str]) -> list[list[int]]:
-    return [e.ids for e in load(path).encode_batch_fast(texts, add_special_tokens=False)]
+def specials(path: str) -> tuple[str, ...]:
+    """Texts of the special and added tokens, longest first."""
+    return tuple(sorted((t.content for t in load(path).get_added_tokens_decoder().values()), key=len, reverse=True))
+
+
+def _mark(path: str) -> tuple[str, int] | None:
+    """A special token that stands for itself wherever it occurs: text and id."""
+    for i, token in load(path).get_added_tokens_decoder().items():
+        if token.special and not (token.lstrip or token.rstrip or token.single_word or token.normalized):
+            return token.content, i
+    return None
+
+
+def encode(path: str, texts: list[str], dtype: str) -> list[bytes]:
+    """Each text's ids, packed. Many texts go through the library as one, parted by a special
+    token: it cuts a text before any other rule, so the parts are encoded as if alone."""
+    tok, mark = load(path), _mark(path)
+    alone = [t for t in texts if mark is None or mark[0] in t]
+    own = dict(zip(alone, (np.array(e.ids, dtype).tobytes() for e in tok.encode_batch_fast(alone, add_special_tokens=False)),
+                   strict=True))
+    rest, out = [t for t in texts if t not in own] if own else texts, []
+    for at in range(0, len(rest), 1 << 12):
+        ids = np.array(tok.encode_batch_fast([mark[0].join(rest[at:at + (1 << 12)])], add_special_tokens=False)[0].ids, dtype)
+        ends = np.append(np.flatnonzero(ids == mark[1]), len(ids)) * ids.itemsize
+        data, start = ids.tobytes(), 0
+        for end in ends.tolist():
+            out.append(data[start:end])
+            start = end + ids.itemsize
+    if not own:
+        return out
+    found = iter(out)
+    return [own[t] if t in own else next(found) for t in texts]
 
 
 class WordIds(dict):
     """Ids of text pieces as packed numbers, each piece encoded when first met; emptied
-    when it holds ``limit`` pieces."""
+    when it holds ``limit`` pieces (about 250 bytes each). A Python worker keeps one for all
+    its tasks."""
+
+    _known: dict[tuple[str, str], WordIds] = {}
 
-    def __init__(self, path: str, dtype: str, limit: int = 400_000):
+    def __init__(self, path: str, dtype: str, limit: int = 1_000_000):
         super().__init__()
         self.path, self.dtype, self.limit = path, dtype, limit
 
-    def learn(self, pieces: list[str]) -> None:
+    @classmethod
+    def of(cls, path: str, dtype: str) -> WordIds:
+        return cls._known.setdefault((path, dtype), cls(path, dtype))
+
+    def learn(self, pieces: Iterable[str]) -> None:
         if len(self) > self.limit:
             self.clear()
         new = list({*pieces}.difference(self))
-        for piece, ids in zip(new, encode(self.path, new), strict=True):
-            self[piece] = np.array(ids, self.dtype).tobytes()
+        self.update(zip(new, encode(self.path, new, self.dtype), strict=True))
 
     def ids(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, pieces))

@@ -54,7 +54,7 @@ def test_slices_and_flushes_do_not_change_the_result(spark, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "COMBINE", combine)
         batch = __import__("pyarrow").RecordBatch.from_pydict(
             {"doc_id": list(range(5)), "variant": [0] * 5, "text": texts})
-        names = [r for b in suffix_dedup._span_rows([batch]) for r in b.to_pylist()]
+        names = [r for b in suffix_dedup._span_rows(iter([batch])) for r in b.to_pylist()]
         rows.append(sum(r["n"] for r in names))
     assert rows[0] == rows[1] == sum(len(t) - 99 for t in texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
