@@ -97,8 +97,7 @@ def _doubled(data: np.ndarray, length: int, salt: int) -> np.ndarray:
 
 
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The names of length ANCHOR at all positions, and each window's anchor. ``data`` holds
-    LENGTH bytes at least and SLICE windows at most."""
+    """The names of length ANCHOR at all positions, and each window's anchor."""
     names = _doubled(data, ANCHOR, 0)
     low = (names & ~_PLACE) | np.arange(len(names), dtype=U)
     width, h = LENGTH - ANCHOR + 1, 1
@@ -117,33 +116,44 @@ def _name_of(eights: np.ndarray, start: np.ndarray, size: np.ndarray, most: int,
     return name
 
 
-def _spans(data: np.ndarray) -> tuple[np.ndarray, ...]:
+def _runs(windows: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of adjacent windows begin whose ``same`` values are equal, and their lengths."""
+    new = np.append(True, (np.diff(windows) != 1) | np.any([np.diff(x) != 0 for x in same], axis=0))
+    first = np.flatnonzero(new)
+    return first, np.diff(first, append=len(windows))
+
+
+def _spans(data: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
     """First window, number of windows, anchor's name and span's name of each span."""
     names, anchor = _anchors(data)
-    start = np.flatnonzero(np.diff(anchor, prepend=-1))
-    n = np.diff(start, append=len(anchor))
-    anchor = anchor[start]
+    anchor = anchor[windows]
+    first, n = _runs(windows, anchor)
+    start, anchor = windows[first], anchor[first]
     name = _name_of(_eights(data), start, n - 1 + LENGTH, 2 * LENGTH - ANCHOR, 5)
     return start, n, names[anchor], _pair(name, (anchor - start).astype(U), 6)
 
 
-def _blocks(data: np.ndarray) -> tuple[np.ndarray, ...]:
+def _blocks(data: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
     """First window, number of windows, name of what a whole block's windows have in common
     and name of the block, for blocks of STEP windows counted from the anchor."""
-    _, anchor = _anchors(data)
-    block = (np.arange(len(anchor)) - anchor) // STEP * STEP + anchor
-    start = np.flatnonzero(np.append(True, (np.diff(anchor) != 0) | (np.diff(block) != 0)))
-    n = np.diff(start, append=len(anchor))
-    block, eights = block[start], _eights(data)
+    anchor = _anchors(data)[1][windows]
+    block = (windows - anchor) // STEP * STEP + anchor
+    first, n = _runs(windows, anchor, block)
+    start, block, eights = windows[first], block[first], _eights(data)
     common = _name_of(eights, block + STEP - 1, np.full(len(block), LENGTH - STEP + 1), LENGTH - STEP + 1, 11)
     name = _name_of(eights, start, n - 1 + LENGTH, LENGTH + STEP - 1, 12)
     return start, n, common, _pair(name, (start - block).astype(U), 13)
 
 
-def _slices(text: bytes) -> Iterator[tuple[int, np.ndarray]]:
-    data = np.frombuffer(text, np.uint8)
-    for at in range(0, len(data) - LENGTH + 1, SLICE):
-        yield at, data[at:at + SLICE + LENGTH - 1]
+def _singles(data: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each window alone, with its two names."""
+    return windows, np.ones(len(windows), np.int64), _doubled(data, LENGTH, 0)[windows], _doubled(data, LENGTH, 9)[windows]
+
+
+def _slices(text: bytes, first: int, last: int) -> Iterator[tuple[int, bytes]]:
+    """The bytes of the windows from first to before last, SLICE windows at a time."""
+    for at in range(first, last, SLICE):
+        yield at, text[at:min(last, at + SLICE) + LENGTH - 1]
 
 
 def _first_of_each(keys: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -185,11 +195,11 @@ def _combined(held: list[tuple]) -> Iterator[pa.RecordBatch]:
                                      ["anchor", "name", "doc_id", "variant", "start", "n"])
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, np.ndarray]]:
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
     for batch in batches:
         ids, variants = batch.column("doc_id").to_pylist(), batch.column("variant").to_pylist()
         for doc, variant, text in zip(ids, variants, utf8(batch.column("text")), strict=True):
-            for at, data in _slices(text):
+            for at, data in _slices(text, 0, len(text) - LENGTH + 1):
                 yield doc, variant, at, data
 
 
@@ -244,7 +254,7 @@ def _resolve_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         pending = None if shared[-1] else (doc[tail], variant[tail], start[tail], n[tail])
 
 
-def _asked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
+def _asked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, bytes]]:
     """doc_id, variant, first window and bytes of each run of asked windows; neighbouring
     spans are one run, up to SLICE windows."""
     lists = batch.column("spans")
@@ -256,27 +266,38 @@ def _asked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
         run = np.cumsum(n) // (SLICE // 2)
         cut = np.flatnonzero(np.append(True, (start[1:] > start[:-1] + n[:-1]) | (run[1:] > run[:-1])))
         ends = np.append(start[cut[1:] - 1] + n[cut[1:] - 1], start[-1] + n[-1])
-        data = np.frombuffer(text, np.uint8)
         for s, e in zip(start[cut].tolist(), ends.tolist(), strict=True):
-            for at in range(s, e, SLICE):
-                yield doc, variant, at, data[at:min(e, at + SLICE) + LENGTH - 1]
+            for at, data in _slices(text, s, e):
+                yield doc, variant, at, data
 
 
-def _singles(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Each window alone, with its two names."""
-    n = len(data) - LENGTH + 1
-    return np.arange(n), np.ones(n, np.int64), _doubled(data, LENGTH, 0), _doubled(data, LENGTH, 9)
+def _lots(parts: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Parts whose bytes together are few, so that numpy's work isn't done part by part."""
+    lot, size = [], 0
+    for part in parts:
+        lot.append(part)
+        size += len(part[3])
+        if size >= SLICE // 2:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
 
 
 def _rows_of(parts: Iterator[tuple], cut) -> Iterator[pa.RecordBatch]:
-    """``cut`` gives first window, number of windows and two names of the pieces of a part
-    (doc_id, variant, first window, bytes). A task's first of each name goes out with its
-    names, the others as runs."""
+    """``cut`` takes the joined bytes of some parts (doc_id, variant, first window, bytes) and
+    the windows that lie within a part, and gives first window, number of windows and two
+    names of the pieces. A task's first of each name goes out with its names, the others as runs."""
     held: list[tuple] = []
     count = 0
-    for doc, variant, at, data in parts:
-        start, n, anchor, name = cut(data)
-        held.append((np.full(len(n), doc, np.int64), np.full(len(n), variant, np.int64), start + at, n, anchor, name))
+    for lot in _lots(parts):
+        doc, variant, at, sizes = (np.array(x, np.int64) for x in zip(*((d, v, a, len(t)) for d, v, a, t in lot), strict=True))
+        ends = np.cumsum(sizes)
+        of = np.repeat(np.arange(len(lot)), sizes)
+        windows = np.flatnonzero(np.arange(len(of)) + LENGTH <= ends[of])
+        start, n, anchor, name = cut(np.frombuffer(b"".join(t for *_, t in lot), np.uint8), windows)
+        of = of[start]
+        held.append((doc[of], variant[of], start - (ends - sizes)[of] + at[of], n, anchor, name))
         count += len(n)
         if count >= COMBINE:
             yield from _combined(held)
