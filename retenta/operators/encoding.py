@@ -2,24 +2,22 @@
 
 Fit: distinct labels per column, sorted, coded 0..k-1; a null label, when
 present, takes the last code k (the order a sorted vocabulary with the
-missing value appended gives). Apply: the mapping is turned into one map
-column per encoded column inside a single-row frame that is broadcast after
-its size is checked; above the limit a plain join on (label) is used.
+missing value appended gives). Apply: a null-safe join on the label for
+each encoded column, whatever the number of labels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from retenta.functions.scalar import map_values, replace_value
+from retenta.operators.ordering import row_number_global
 
 # Recoding done before label encoding.
 ZERO_BALANCE_OLD, ZERO_BALANCE_NEW = "Cero", "Rango_SDO_00"
 LIMA_MAP = {"Lima": 1, "Provincia": 0}
-BROADCAST_LABEL_LIMIT = 1_000_000
-LITERAL_LABEL_LIMIT = 10_000
 
 
 def recode(df: DataFrame) -> DataFrame:
@@ -40,89 +38,44 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def fit_label_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long table (column, label, code)."""
+    """Long table (column, label, code). Codes are the distributed row number
+    of the distinct labels, so a column may have any number of them."""
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns
     ])).alias("e")).select("e.column", "e.label").distinct()
-    w = Window.partitionBy("column").orderBy(F.col("label").asc_nulls_last())
-    return stacked.select("column", "label", (F.dense_rank().over(w) - 1).cast("bigint").alias("code"))
+    ranked = row_number_global(stacked, [F.col("label").asc_nulls_last()], ["column"], name="place")
+    return ranked.select("column", "label", (F.col("place") - 1).alias("code"))
 
 
 def apply_label_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str],
                         on_unseen: str = "error") -> DataFrame:
-    """Replace each column by its code.
+    """Replace each column by its code, by a join with the mapping (Spark
+    broadcasts it if its size allows, and shuffles otherwise).
 
     ``on_unseen``: ``error`` fails the job on a label not seen at fit time,
     ``null`` gives null, ``keep`` gives one code past the last known one.
     """
-    if isinstance(encoder, list):   # rows already read (a bounded vocabulary)
-        return _apply_literal(df, encoder, columns, on_unseen)
-    enc = encoder.where(F.col("column").isin(list(columns)))
-    small = enc.limit(LITERAL_LABEL_LIMIT + 1).collect()
-    if len(small) <= LITERAL_LABEL_LIMIT:
-        return _apply_literal(df, small, columns, on_unseen)
-    n_labels = enc.count()
-    if n_labels > BROADCAST_LABEL_LIMIT:
-        return _apply_by_join(df, encoder, columns, on_unseen)
-    maps = encoder.groupBy().agg(*[
-        F.map_from_entries(F.collect_list(F.when(
-            (F.col("column") == c) & F.col("label").isNotNull(), F.struct("label", "code"))))
-        .alias(f"__map_{c}") for c in columns
-    ], *[F.max(F.when((F.col("column") == c) & F.col("label").isNull(), F.col("code"))).alias(f"__null_{c}")
-         for c in columns],
-        *[F.max(F.when(F.col("column") == c, F.col("code"))).alias(f"__max_{c}") for c in columns])
-    joined = df.crossJoin(F.broadcast(maps))
-    out = []
-    for c in df.columns:
-        if c not in columns:
-            out.append(F.col(c))
-            continue
-        found = F.when(F.col(c).isNull(), F.col(f"__null_{c}")).otherwise(
-            F.element_at(F.col(f"__map_{c}"), F.col(c).cast("string")))
-        out.append(_unseen(found, c, on_unseen, F.col(f"__max_{c}")).alias(c))
-    return joined.select(*out)
-
-
-def encoder_rows(encoder: DataFrame):
-    """The mapping as rows when it has at most ``LITERAL_LABEL_LIMIT`` labels, else None."""
-    rows = encoder.limit(LITERAL_LABEL_LIMIT + 1).collect()
-    return rows if len(rows) <= LITERAL_LABEL_LIMIT else None
+    last = {}
+    if on_unseen == "keep":
+        last = {r["column"]: r["code"] for r in encoder.where(F.col("column").isin(list(columns)))
+                .groupBy("column").agg(F.max("code").alias("code")).collect()}
+    out = df
+    for i, c in enumerate(columns):
+        mine = encoder.where(F.col("column") == c).select(F.col("label").alias(f"__label_{i}"),
+                                                          F.col("code").alias(f"__code_{i}"))
+        out = out.join(mine, F.col(c).cast("string").eqNullSafe(F.col(f"__label_{i}")), "left")
+    place = {c: i for i, c in enumerate(columns)}
+    return out.select(*[_unseen(F.col(f"__code_{place[c]}"), c, on_unseen, last.get(c, -1)).alias(c) if c in place
+                        else F.col(f"`{c}`") for c in df.columns])
 
 
-def _apply_literal(df, rows, columns, on_unseen):
-    """Vocabularies of at most ``LITERAL_LABEL_LIMIT`` labels become literal maps."""
-    out = []
-    for c in df.columns:
-        if c not in columns:
-            out.append(F.col(c))
-            continue
-        mine = [r for r in rows if r["column"] == c]
-        pairs = [x for r in mine if r["label"] is not None for x in (F.lit(r["label"]), F.lit(r["code"]))]
-        null_code = next((r["code"] for r in mine if r["label"] is None), None)
-        max_code = max((r["code"] for r in mine), default=-1)
-        lookup = F.element_at(F.create_map(*pairs), F.col(c).cast("string")) if pairs else F.lit(None)
-        found = F.when(F.col(c).isNull(), F.lit(null_code)).otherwise(lookup).cast("bigint")
-        out.append(_unseen(found, c, on_unseen, F.lit(max_code)).alias(c))
-    return df.select(*out)
-
-
-def _unseen(code, c, on_unseen, max_code):
+def _unseen(code, c, on_unseen, last):
     if on_unseen == "null":
         return code
     if on_unseen == "keep":
-        return F.coalesce(code, max_code + 1)
+        return F.coalesce(code, F.lit(last + 1).cast("bigint"))
+    if on_unseen != "error":
+        raise ValueError(on_unseen)
     return F.when(code.isNull(), F.raise_error(F.concat(F.lit(f"unseen label in {c}: "),
                                                         F.coalesce(F.col(c).cast("string"), F.lit("null")))))\
         .otherwise(code).cast("bigint")
-
-
-def _apply_by_join(df, encoder, columns, on_unseen):
-    out = df
-    for c in columns:
-        enc = encoder.where(F.col("column") == c).select(F.col("label").alias(f"__l_{c}"),
-                                                          F.col("code").alias(f"__code_{c}"))
-        out = out.join(enc, out[c].cast("string").eqNullSafe(enc[f"__l_{c}"]), "left")
-        max_code = F.lit(encoder.where(F.col("column") == c).agg(F.max("code")).first()[0])
-        out = out.withColumn(c, _unseen(F.col(f"__code_{c}"), c, on_unseen, max_code)) \
-            .drop(f"__l_{c}", f"__code_{c}")
-    return out

@@ -13,7 +13,8 @@ with the work spread over range partitions:
    executor re-reads files instead of re-sampling;
 4. per range partition (and group), count rows / sum values: one small row
    per partition;
-5. prefix-sum those small rows to offsets and add them back.
+5. prefix-sum those small rows to offsets and join them back by range partition
+   (and group); Spark picks the join by the sizes it sees.
 
 A group that holds a third of all rows is spread over many range partitions,
 so no task sees more than one range partition of it.
@@ -28,9 +29,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from retenta.session import ensure_checkpoint_dir, materialize
 
 _LOCAL_MASK = (1 << 33) - 1
-# Offsets tables have one row per (range partition, group): broadcast them
-# only below this many rows, else join them by key.
-OFFSETS_BROADCAST_ROWS = 200_000
 
 
 def _sort_cols(order_cols: Sequence[Column | str]) -> list[Column]:
@@ -49,14 +47,6 @@ def _range_sorted(df: DataFrame, keys: list[Column], num_partitions: int | None)
     return materialize(tagged, "range-sorted")
 
 
-def _maybe_broadcast(df: DataFrame, grouped: bool) -> DataFrame:
-    """Without groups the offsets have one row per range partition (a bound
-    known from the plan); with groups their size is checked first."""
-    if not grouped:
-        return F.broadcast(df)
-    return F.broadcast(df) if df.count() <= OFFSETS_BROADCAST_ROWS else df
-
-
 def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
                       partition_cols: Sequence[str] = (), name: str = "row_number",
                       num_partitions: int | None = None, total_name: str | None = None) -> DataFrame:
@@ -73,7 +63,7 @@ def row_number_global(df: DataFrame, order_cols: Sequence[Column | str],
                             "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"),
                             F.sum("__n").over(Window.partitionBy(*pcols)).alias("__total"))
     cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
-    joined = t.join(_maybe_broadcast(offsets, bool(pcols)), cond)
+    joined = t.join(offsets, cond)
     rn = (F.col("__off") + local - F.col("__first") + 1).cast("bigint")
     extra = [F.col("__total").cast("bigint").alias(total_name)] if total_name else []
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], rn.alias(name), *extra)
@@ -100,6 +90,6 @@ def running_sums(df: DataFrame, value_cols: Sequence[str], order_cols: Sequence[
     lw = Window.partitionBy("__pid", *pcols).orderBy("__mono").rowsBetween(Window.unboundedPreceding, 0)
     local = t.select("*", *[F.sum(v).over(lw).alias(f"__l_{v}") for v in value_cols])
     cond = [F.col("__pid") == F.col("__opid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in pcols]
-    joined = local.join(_maybe_broadcast(offsets, bool(pcols)), cond)
+    joined = local.join(offsets, cond)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                          *[(F.col(f"__o_{v}") + F.col(f"__l_{v}")).alias(f"{v}{suffix}") for v in value_cols])

@@ -1,9 +1,8 @@
 """Standardisation with the POPULATION standard deviation.
 
 ``pyspark.ml.feature.StandardScaler`` divides by the sample deviation, so
-the moments are computed here: mean and ``stddev_pop`` for all features in
-one pass (partial aggregation per partition), stored long
-(feature, mean, std). A zero deviation scales by 1.
+the moments are computed here: mean and ``stddev_pop`` of all features,
+stored long (feature, mean, std). A zero deviation scales by 1.
 """
 
 from __future__ import annotations
@@ -15,6 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from retenta.functions.schema import ID, LABEL, MONTH
 
 NOT_SCALED = (ID, MONTH, LABEL)
+# Features per aggregate: the generated code of one aggregate stays small, and
+# each block's scan reads its own columns only.
+BLOCK = 16
 
 
 def feature_columns(columns: Sequence[str], excluded: Sequence[str] = NOT_SCALED) -> list[str]:
@@ -23,24 +25,28 @@ def feature_columns(columns: Sequence[str], excluded: Sequence[str] = NOT_SCALED
 
 
 def fit_standardizer(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long form: every row is expanded to (feature, x) pairs inside the map
-    task and aggregated by feature, so partial aggregation ships one small
-    row per feature and partition, and the generated code stays small for
-    any number of features (a single aggregate with two functions per
-    feature outgrows the generated-method limits)."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("x"))
-                                for f in features])).alias("e")
-    return (df.select(pairs).select("e.feature", "e.x").groupBy("feature")
-            .agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std")))
-
-
-MAX_LITERAL_FEATURES = 10_000
+    """(feature, mean, std): plain aggregates over blocks of columns, so a row
+    is never expanded; each partition ships one row per block."""
+    out = None
+    for at in range(0, len(features), BLOCK):
+        block = features[at:at + BLOCK]
+        x = [F.col(f"`{f}`").cast("double") for f in block]
+        row = df.agg(*[F.struct(F.lit(f).alias("feature"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"f{i}")
+                       for i, (f, c) in enumerate(zip(block, x))])
+        long = row.select(F.inline(F.array(*[f"f{i}" for i in range(len(block))])))
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def moment_values(moments: DataFrame, features: Sequence[str]) -> dict:
-    """{feature: (mean, std)}: one row per feature, read with an exact bound."""
-    return {r["feature"]: (r["mean"], r["std"])
-            for r in moments.where(F.col("feature").isin(list(features))).limit(len(features)).collect()}
+    """{feature: (mean, std)}: exactly one row for each feature, none without a moment."""
+    rows = moments.where(F.col("feature").isin(list(features))).groupBy("feature").agg(
+        F.first("mean").alias("mean"), F.first("std").alias("std"), F.count(F.lit(1)).alias("n")).collect()
+    got = {r["feature"]: (r["mean"], r["std"]) for r in rows if r["n"] == 1}
+    bad = [f for f in features if None in got.get(f, (None,))]
+    if bad:
+        raise ValueError(f"no moments, or several, for {bad}")
+    return got
 
 
 def apply_standardizer(df: DataFrame, moments: DataFrame, features: Sequence[str],
@@ -48,27 +54,12 @@ def apply_standardizer(df: DataFrame, moments: DataFrame, features: Sequence[str
     """(x - mean) / std per feature; columns in ``keep`` come first, then features in order.
 
     The moments are two numbers per feature (a size fixed by the feature
-    list), so they are read once and inlined as literals: scaling is then a
-    narrow projection with no join. Above ``MAX_LITERAL_FEATURES`` they are
-    pivoted to one row and broadcast instead.
+    list), so they are read once and become literals: scaling is a narrow
+    projection with no join.
     """
-    if isinstance(moments, dict) or len(features) <= MAX_LITERAL_FEATURES:
-        rows = moments if isinstance(moments, dict) else moment_values(moments, features)
-        out = [F.col(c) for c in keep if c in df.columns]
-        for f in features:
-            mean, std = rows.get(f, (None, None))
-            scale = 1.0 if std == 0 else std
-            out.append(((F.col(f"`{f}`").cast("double") - F.lit(mean).cast("double"))
-                        / F.lit(scale).cast("double")).alias(f))
-        return df.select(*out)
-    wide = moments.groupBy().agg(*[
-        F.max(F.when(F.col("feature") == f, F.col("mean"))).alias(f"__m{i}") for i, f in enumerate(features)
-    ], *[
-        F.max(F.when(F.col("feature") == f, F.col("std"))).alias(f"__s{i}") for i, f in enumerate(features)
-    ])
-    joined = df.crossJoin(F.broadcast(wide))
-    scale = lambda i: F.when(F.col(f"__s{i}") == 0, F.lit(1.0)).otherwise(F.col(f"__s{i}"))
+    values = moment_values(moments, features)
     out = [F.col(c) for c in keep if c in df.columns]
-    out += [((F.col(f"`{f}`").cast("double") - F.col(f"__m{i}")) / scale(i)).alias(f)
-            for i, f in enumerate(features)]
-    return joined.select(*out)
+    for f in features:
+        mean, std = values[f]
+        out.append(((F.col(f"`{f}`").cast("double") - F.lit(mean)) / F.lit(1.0 if std == 0 else std)).alias(f))
+    return df.select(*out)

@@ -3,8 +3,8 @@ request profile -> join -> fill -> scale.
 
 ``fit_prepare`` learns the state on training rows and returns it as small
 DataFrames; ``apply_prepare`` reuses that state on test or scoring rows.
-Everything stays one lazy plan: fitted state enters the scoring plan as a
-broadcast single-row frame (imputation, moments, encoder maps), so the
+Building a plan runs small jobs: one value per imputed variable and two per
+feature are read and become literals; the label mapping is joined. The
 client table is never collected.
 
 Defaults follow the production semantics (left join + fill 0, no one-hot
@@ -14,20 +14,19 @@ the local tracked pipeline (87 features).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from retenta.functions.features import engineer
 from retenta.functions.scalar import empty_to_null
 from retenta.functions.schema import EMPTY_AS_NULL_CLIENT, EMPTY_AS_NULL_REQUEST, ID
-from retenta.operators.encoding import (apply_label_encoder, encoder_rows, fit_label_encoder, recode,
-                                       string_columns)
-from retenta.operators.imputation import CLIENT_IMPUTATION, REQUEST_IMPUTATION, apply_imputation, fit_imputation
+from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, recode, string_columns
+from retenta.operators.imputation import (CLIENT_IMPUTATION, REQUEST_IMPUTATION, apply_imputation, fit_imputation,
+                                         imputation_values)
 from retenta.operators.requests import categories_dict, learn_categories, request_profile
-from retenta.operators.scaling import (NOT_SCALED, apply_standardizer, feature_columns, fit_standardizer,
-                                      moment_values)
-from retenta.session import materialize, small_table
+from retenta.operators.scaling import NOT_SCALED, apply_standardizer, feature_columns, fit_standardizer
+from retenta.session import materialize
 
 
 @dataclass
@@ -38,18 +37,30 @@ class PreparedState:
     moments: DataFrame             # feature, mean, std
     features: list[str]            # model input order
     join_how: str = "left"
-    # the bounded tables above, already read (set by fit_prepare; empty when
-    # the state is loaded from storage or replaced)
-    read_values: dict = field(default_factory=dict)
-
-    def __setattr__(self, name, value):
-        if name in ("imputation", "encoder", "moments", "categories") and "read_values" in self.__dict__:
-            self.__dict__["read_values"] = {}
-        object.__setattr__(self, name, value)
 
     def feature_table(self, spark) -> DataFrame:
         return spark.createDataFrame([(i, f) for i, f in enumerate(self.features)], "pos int, name string")
 
+    def tables(self, spark) -> dict[str, DataFrame]:
+        """Everything that scoring needs, as tables; ``from_tables`` reads it back."""
+        settings = spark.createDataFrame([("join_how", self.join_how), ("one_hot", str(self.categories is not None))],
+                                         "name string, value string")
+        none = spark.createDataFrame([], "column string, value string")
+        return {"imputation": self.imputation, "encoding": self.encoder, "moments": self.moments,
+                "features": self.feature_table(spark), "settings": settings,
+                "categories": none if self.categories is None else self.categories}
+
+    @staticmethod
+    def from_tables(tables: dict[str, DataFrame]) -> PreparedState:
+        settings = {r["name"]: r["value"] for r in tables["settings"].collect()}
+        features = [r["name"] for r in tables["features"].orderBy("pos").collect()]
+        return PreparedState(tables["imputation"], tables["encoding"],
+                             tables["categories"] if settings["one_hot"] == "True" else None,
+                             tables["moments"], features, settings["join_how"])
+
+
+STATE_TABLES = ("imputation", "encoding", "moments", "features", "settings", "categories")
+
 
 def clean_clients(df: DataFrame) -> DataFrame:
     return df.select(*[empty_to_null(c).alias(c) if c in EMPTY_AS_NULL_CLIENT else F.col(c) for c in df.columns])
@@ -59,23 +70,12 @@ def clean_requests(df: DataFrame) -> DataFrame:
     return df.select(*[empty_to_null(c).alias(c) if c in EMPTY_AS_NULL_REQUEST else F.col(c) for c in df.columns])
 
 
-def _impute(clients: DataFrame, reqs: DataFrame, params) -> tuple[DataFrame, DataFrame]:
-    """``params``: the imputation table, or its values already read
-    ({(dataframe, variable): value})."""
-    if not isinstance(params, dict):
-        params = _param_values(params)
-    c = apply_imputation(clients, {v: x for (t, v), x in params.items() if t == "clientes"},
-                         [v for v, _ in CLIENT_IMPUTATION])
-    r = apply_imputation(reqs, {v: x for (t, v), x in params.items() if t == "requerimientos"},
-                         [v for v, _ in REQUEST_IMPUTATION])
+def _impute(clients: DataFrame, reqs: DataFrame, params: DataFrame) -> tuple[DataFrame, DataFrame]:
+    c = apply_imputation(clients, imputation_values(params, "clientes", [v for v, _ in CLIENT_IMPUTATION]))
+    r = apply_imputation(reqs, imputation_values(params, "requerimientos", [v for v, _ in REQUEST_IMPUTATION]))
     return c, r
 
 
-def _param_values(params: DataFrame) -> dict:
-    return {(r["dataframe"], r["variable"]): r["value"]
-            for r in params.select("dataframe", "variable", "value").limit(10_000).collect()}
-
-
 def _join(clients: DataFrame, profile: DataFrame, how: str) -> DataFrame:
     joined = clients.join(profile, ID, how)
     if how == "left":
@@ -85,70 +85,40 @@ def _join(clients: DataFrame, profile: DataFrame, how: str) -> DataFrame:
     return joined
 
 
-def build_unscaled(clients: DataFrame, reqs: DataFrame, params, encoder,
-                   categories: dict | None, join_how: str, on_unseen: str = "error"):
-    c, r = _impute(clean_clients(clients), clean_requests(reqs), params)
-    c = recode(engineer(c))
-    enc_cols = string_columns(c)
-    if encoder is None:
-        encoder = fit_label_encoder(c, enc_cols)
-    c = apply_label_encoder(c, encoder, enc_cols, on_unseen=on_unseen)
-    profile = request_profile(r, categories=categories)
-    return _join(c, profile, join_how), encoder, r
+def _unscaled(clients: DataFrame, reqs: DataFrame, encoder: DataFrame, categories: DataFrame | None,
+              join_how: str, on_unseen: str) -> DataFrame:
+    """From imputed requests and imputed, engineered and recoded clients."""
+    coded = apply_label_encoder(clients, encoder, string_columns(clients), on_unseen=on_unseen)
+    names = categories_dict(categories) if categories is not None else None
+    return _join(coded, request_profile(reqs, categories=names), join_how)
 
 
 def fit_prepare(clients: DataFrame, reqs: DataFrame, join_how: str = "left",
-                with_pivot_counts: bool = False, persist: bool = True) -> tuple[DataFrame, PreparedState]:
-    """Fit on training rows. With ``persist`` (the default) the fitted tables
-    are read once with an exact row bound and kept as local relations (or
-    written when larger), and the unscaled training matrix is written once
-    to the shared checkpoint folder: moments and scaling read it instead of
-    re-deriving the training chain."""
-    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
-    small = (lambda df, bound, name: small_table(df, bound, name)) if persist else (lambda df, bound, name: (df, None))
-    params, rows = small(fit_imputation(clean_clients(clients), clean_requests(reqs)), 100, "state-imputation")
-    # read once, reused by every step below
-    values = ({(r["dataframe"], r["variable"]): r["value"] for r in rows} if rows is not None
-              else _param_values(params))
-    cat_table = None
-    categories = None
-    if with_pivot_counts:
-        _, r_imp = _impute(clean_clients(clients), clean_requests(reqs), values)
-        cat_table, _ = small(learn_categories(r_imp), 10_000, "state-categories")
-        categories = categories_dict(cat_table)
-    c, _ = _impute(clean_clients(clients), clean_requests(reqs), values)
-    c = recode(engineer(c))
-    encoder, enc_rows = small(fit_label_encoder(c, string_columns(c)), 10_000, "state-encoding")
-    if enc_rows is None:
-        enc_rows = encoder_rows(encoder)
-    joined, _, _ = build_unscaled(clients, reqs, values, enc_rows if enc_rows is not None else encoder, categories,
-                                  join_how)
-    joined = keep(joined, "train-unscaled")
+                with_pivot_counts: bool = False) -> tuple[DataFrame, PreparedState]:
+    """Fit on training rows. The cleaned, imputed and engineered clients are
+    written once; encoder and matrix read them. The unscaled matrix is
+    written once too; moments and scaling read that. Fitted tables are
+    written, so every later use reads a few rows."""
+    clients, reqs = clean_clients(clients), clean_requests(reqs)
+    params = materialize(fit_imputation(clients, reqs), "state-imputation")
+    c, r = _impute(clients, reqs, params)
+    c = materialize(recode(engineer(c)), "train-clients")
+    categories = materialize(learn_categories(r), "state-categories") if with_pivot_counts else None
+    encoder = materialize(fit_label_encoder(c, string_columns(c)), "state-encoding")
+    joined = materialize(_unscaled(c, r, encoder, categories, join_how, "error"), "train-unscaled")
     features = feature_columns(joined.columns)
-    moments, m_rows = small(fit_standardizer(joined, features), 10_000, "state-moments")
-    m_values = ({r["feature"]: (r["mean"], r["std"]) for r in m_rows} if m_rows is not None
-                else moment_values(moments, features))
-    prepared = apply_standardizer(joined, m_values, features)
-    state = PreparedState(params, encoder, cat_table, moments, features, join_how)
-    state.read_values = {"imputation": values, "encoder": enc_rows, "moments": m_values, "categories": categories}
-    return prepared, state
+    moments = materialize(fit_standardizer(joined, features), "state-moments")
+    return (apply_standardizer(joined, moments, features),
+            PreparedState(params, encoder, categories, moments, features, join_how))
 
 
 def apply_prepare(clients: DataFrame, reqs: DataFrame, state: PreparedState,
                   on_unseen: str = "error") -> DataFrame:
-    cache = state.read_values
-    if cache:
-        categories, rows, values, m_values = (cache["categories"], cache["encoder"], cache["imputation"],
-                                              cache["moments"])
-    else:
-        categories = categories_dict(state.categories) if state.categories is not None else None
-        rows = encoder_rows(state.encoder)
-        values = _param_values(state.imputation)
-        m_values = moment_values(state.moments, state.features)
-    joined, _, _ = build_unscaled(clients, reqs, values, rows if rows is not None else state.encoder, categories,
-                                  state.join_how, on_unseen)
-    return apply_standardizer(joined, m_values, state.features)
-
-
-__all__ = ["PreparedState", "fit_prepare", "apply_prepare", "build_unscaled", "clean_clients",
+    """``on_unseen``: what a label not seen at fit time does (see ``apply_label_encoder``)."""
+    c, r = _impute(clean_clients(clients), clean_requests(reqs), state.imputation)
+    joined = _unscaled(recode(engineer(c)), r, state.encoder, state.categories, state.join_how, on_unseen)
+    return apply_standardizer(joined, state.moments, state.features)
+
+
+__all__ = ["PreparedState", "STATE_TABLES", "fit_prepare", "apply_prepare", "clean_clients",
            "clean_requests", "NOT_SCALED"]

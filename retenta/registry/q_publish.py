@@ -3,6 +3,8 @@ monthly score table (P17-P19, W1, W5, W7, IO9-IO11)."""
 
 from __future__ import annotations
 
+import uuid
+
 from retenta.functions.scalar import load_date, risk_band, threshold_label
 from retenta.functions.schema import ID, LABEL
 from retenta.operators.publish import lift_deciles, rank_desc, score_table
@@ -11,7 +13,7 @@ from retenta.registry import register
 from retenta.registry.common import clients, rounded, scores, split_tables, tables
 from retenta.registry.sql_prepare import prepare_ctes, scaled_select
 from retenta.registry.sql_standins import with_standins
-from retenta.session import scratch_path
+from retenta.session import fresh_path
 from retenta.sources.io import publish_table, write_scores_month
 
 BAND_SQL = ("CASE WHEN y_prob >= 0.415 THEN 'High risk' WHEN y_prob >= 0.285 THEN 'Medium risk' "
@@ -63,8 +65,8 @@ def q_head_sample(spark, sf):
     return clients(spark, sf).select(ID, "EDAD", LABEL).orderBy(ID).limit(5)
 
 
-SCORE_SQL = (f"SELECT CAST(ID_CORRELATIVO AS INTEGER) AS ID_CORRELATIVO, y_prob, '{MODEL_NAME}' AS model, "
-             f"{BAND_SQL} AS attrition_profile, '20240831' AS load_date, CAST(\"order\" AS INTEGER) AS \"order\", "
+SCORE_SQL = (f"SELECT CAST(ID_CORRELATIVO AS BIGINT) AS ID_CORRELATIVO, y_prob, '{MODEL_NAME}' AS model, "
+             f"{BAND_SQL} AS attrition_profile, '20240831' AS load_date, CAST(\"order\" AS BIGINT) AS \"order\", "
              f"200102 AS CODMES FROM ({RANK_SQL})")
 
 
@@ -76,11 +78,11 @@ def q_score_month(spark, sf):
 @register("publish_scores", with_standins(SCORE_SQL))
 def q_publish_scores(spark, sf):
     """Write the month twice (idempotent overwrite of its partition), register the table, read it back."""
-    path = scratch_path(spark, f"scores_{abs(hash(sf))}")
+    path = fresh_path(spark, "scores")
     t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
     write_scores_month(t, path)
     write_scores_month(t, path)
-    name = f"attrition_scores_{abs(hash(sf)) % 100000}"
+    name = f"retenta_scores_{uuid.uuid4().hex}"
     return publish_table(spark, name, path).select(*t.columns)
 
 
@@ -90,7 +92,7 @@ def q_sink_raw_scored(spark, sf):
     tr_c, te_c, tr_r, te_r, _ = split_tables(spark, sf)
     _, state = fit_prepare(tr_c, tr_r)
     scored = rounded(apply_prepare(te_c, te_r, state)).join(scores(spark, sf).select(ID, "y_prob"), ID)
-    path = scratch_path(spark, f"raw_scored_{abs(hash(sf))}")
+    path = fresh_path(spark, "raw_scored")
     scored.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -99,7 +101,7 @@ def q_sink_raw_scored(spark, sf):
 @register("sink_scores_month", with_standins(SCORE_SQL))
 def q_sink_scores_month(spark, sf):
     """IO9: the month is written twice with dynamic partition overwrite; the folder holds it once."""
-    path = scratch_path(spark, f"scores_month_{abs(hash(sf))}")
+    path = fresh_path(spark, "scores_month")
     t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
     write_scores_month(t, path)
     write_scores_month(t, path)
@@ -109,9 +111,9 @@ def q_sink_scores_month(spark, sf):
 @register("publish_table", with_standins(SCORE_SQL))
 def q_publish_table(spark, sf):
     """IO10: CREATE TABLE IF NOT EXISTS over the score folder (run twice), read through the catalog."""
-    path = scratch_path(spark, f"scores_table_{abs(hash(sf))}")
+    path = fresh_path(spark, "scores_table")
     t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
     write_scores_month(t, path)
-    name = f"attrition_scores_pub_{abs(hash(sf)) % 100000}"
+    name = f"retenta_scores_{uuid.uuid4().hex}"
     publish_table(spark, name, path)
     return publish_table(spark, name, path).select(*t.columns)

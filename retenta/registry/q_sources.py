@@ -11,7 +11,7 @@ from retenta.registry.common import clients, requests
 from retenta.registry.sql_standins import with_standins
 from retenta.sources import events as ev
 from retenta.sources.io import read_clients_csv, write_clients_csv
-from retenta.session import scratch_path
+from retenta.session import fresh_path
 
 ALL_COLS = ", ".join(CLIENT_COLUMNS)
 
@@ -153,7 +153,7 @@ def q_rename_upper(spark, sf):
 
 @register("scan_csv_clients", with_standins(f"SELECT {ALL_COLS} FROM clientes"))
 def q_scan_csv_clients(spark, sf):
-    path = scratch_path(spark, f"csv_clients_{abs(hash(sf))}")
+    path = fresh_path(spark, "csv_clients")
     write_clients_csv(clients(spark, sf), path)
     return read_clients_csv(spark, path)
 

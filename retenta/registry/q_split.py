@@ -11,7 +11,7 @@ from retenta.registry import register
 from retenta.registry.common import clients, requests, split_assignment, split_tables
 from retenta.registry.sql_prepare import SPLIT_CTES
 from retenta.registry.sql_standins import with_standins
-from retenta.session import scratch_path
+from retenta.session import fresh_path
 from retenta.sources.io import write_split_tables
 
 
@@ -78,6 +78,6 @@ def q_join_semi_common_ids(spark, sf):
     SPLIT_CTES))
 def q_sink_train_test(spark, sf):
     *_, s = split_tables(spark, sf)
-    path = scratch_path(spark, f"splits_{abs(hash(sf))}")
+    path = fresh_path(spark, "splits")
     write_split_tables(clients(spark, sf).select(ID, LABEL, "EDAD"), requests(spark, sf), s, path)
     return spark.read.parquet(f"{path}/clients").select(ID, LABEL, "EDAD", "split")

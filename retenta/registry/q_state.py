@@ -9,12 +9,12 @@ from retenta.functions.schema import ID, LABEL, MONTH
 from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, recode
 from retenta.operators.imputation import fit_imputation, fit_table
 from retenta.operators.scaling import apply_standardizer, fit_standardizer
-from retenta.plans.prepare import apply_prepare, clean_clients, clean_requests, fit_prepare
+from retenta.plans.prepare import STATE_TABLES, PreparedState, apply_prepare, clean_clients, clean_requests, fit_prepare
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, split_tables
 from retenta.registry.sql_prepare import ENC_COLS, IMPUTATION_CTE, SPLIT_CTES, features, prepare_ctes, scaled_select
 from retenta.registry.sql_standins import with_standins
-from retenta.session import scratch_path
+from retenta.session import fresh_path
 from retenta.sources.io import read_state, write_state
 
 
@@ -164,14 +164,19 @@ def q_exclude_non_features(spark, sf):
     return rounded(prepared.drop(ID, MONTH, LABEL))
 
 
-@register("sink_fitted_state")
+@register("sink_fitted_state", with_standins(f"""
+SELECT 'imputation' AS "table", CAST(5 AS BIGINT) AS "rows"
+UNION ALL SELECT 'encoding', (SELECT count(*) FROM enc)
+UNION ALL SELECT 'moments', CAST({len(features(False))} AS BIGINT)
+UNION ALL SELECT 'features', CAST({len(features(False))} AS BIGINT)
+UNION ALL SELECT 'settings', CAST(2 AS BIGINT)
+UNION ALL SELECT 'categories', CAST(0 AS BIGINT)""", prepare_ctes()))
 def q_sink_fitted_state(spark, sf):
     tr_c, _, tr_r, _, _ = split_tables(spark, sf)
     _, state = fit_prepare(tr_c, tr_r)
-    path = scratch_path(spark, f"state_{abs(hash(sf))}")
-    write_state({"imputation": state.imputation, "encoding": state.encoder, "moments": state.moments,
-                 "features": state.feature_table(spark)}, path)
-    back = read_state(spark, path, ("imputation", "encoding", "moments", "features"))
+    path = fresh_path(spark, "state")
+    write_state(state.tables(spark), path)
+    back = read_state(spark, path, STATE_TABLES)
     counts = [df.groupBy().agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
               for name, df in back.items()]
     out = counts[0]
@@ -185,10 +190,9 @@ def q_load_fitted_state(spark, sf):
     """Fit on train, persist the state tables, read them back and apply to test."""
     tr_c, te_c, tr_r, te_r, _ = split_tables(spark, sf)
     _, state = fit_prepare(tr_c, tr_r)
-    path = scratch_path(spark, f"state_load_{abs(hash(sf))}")
-    write_state({"imputation": state.imputation, "encoding": state.encoder, "moments": state.moments}, path)
-    back = read_state(spark, path, ("imputation", "encoding", "moments"))
-    state.imputation, state.encoder, state.moments = back["imputation"], back["encoding"], back["moments"]
+    path = fresh_path(spark, "state_load")
+    write_state(state.tables(spark), path)
+    state = PreparedState.from_tables(read_state(spark, path, STATE_TABLES))
     return rounded(apply_prepare(te_c, te_r, state))
 
 
@@ -196,7 +200,7 @@ def q_load_fitted_state(spark, sf):
 def q_sink_prepared(spark, sf):
     tr_c, _, tr_r, _, _ = split_tables(spark, sf)
     prepared, _ = fit_prepare(tr_c, tr_r)
-    path = scratch_path(spark, f"prepared_{abs(hash(sf))}")
+    path = fresh_path(spark, "prepared")
     rounded(prepared).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

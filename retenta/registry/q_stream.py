@@ -3,21 +3,19 @@ checked against the SQL of its batch twin."""
 
 from __future__ import annotations
 
-import uuid
-
 from retenta.functions.features import engineer
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, scores
 from retenta.registry.q_publish import MODEL_NAME, RUN_TS, SCORE_SQL
 from retenta.registry.sql_standins import with_standins
-from retenta.session import scratch_path
+from retenta.session import fresh_path
 from retenta.sources import events as ev
 from retenta.sources.tables import read_table
 from retenta.streaming import jobs
 
 
 def _run_dir(spark, name):
-    return scratch_path(spark, f"stream_{name}_{uuid.uuid4().hex[:8]}")
+    return fresh_path(spark, f"stream_{name}")
 
 
 def _events_stream(spark, sf):
@@ -67,7 +65,7 @@ def q_stream_score_events(spark, sf):
     from retenta.registry.common import split_tables
     tr_c, _, tr_r, _, _ = split_tables(spark, sf)
     prepared, state = fit_prepare(tr_c, tr_r)
-    model = T.fit(T.random_forest(numTrees=20), T.training_frame(prepared, state.features))
+    model = T.random_forest(numTrees=20).fit(T.training_frame(prepared, state.features))
     base = _run_dir(spark, "score_events")
     write_event_text(spark, sf, f"{base}/in")
     stream = spark.readStream.schema("value string").text(f"{base}/in")
@@ -87,8 +85,7 @@ def q_stream_request_windows(spark, sf):
 
 
 @register("stream_sliding_activity", """
-WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 432000) AS BIGINT) * 432000 AS s1 FROM events
-           WHERE event_type IN ('click', 'view', 'purchase')),
+WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 432000) AS BIGINT) * 432000 AS s1 FROM events),
 w AS (SELECT user_id, s1 AS s FROM e UNION ALL SELECT user_id, s1 - 432000 FROM e)
 SELECT user_id, strftime(make_timestamp(CAST(s AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
        count(*) AS n_events FROM w GROUP BY 1, 2""")
@@ -122,15 +119,14 @@ def q_stream_dedup(spark, sf):
 
 @register("stream_monthly_upsert", with_standins(SCORE_SQL))
 def q_stream_monthly_upsert(spark, sf):
-    """Scores arrive as files; each micro-batch replaces its month partition. The month is replayed
-    twice and the table still holds it once."""
+    """Scores arrive as several files, one to a micro-batch, so the month spans them; the stream is
+    then replayed. The table holds every client once."""
     from retenta.operators.publish import score_table
     base = _run_dir(spark, "upsert")
     t = score_table(scores(spark, sf), MODEL_NAME, RUN_TS, month=200102)
-    t.write.mode("overwrite").parquet(f"{base}/in")
+    t.repartition(4, "ID_CORRELATIVO").write.mode("overwrite").parquet(f"{base}/in")
     schema = spark.read.parquet(f"{base}/in").schema
     for run in ("a", "b"):
-        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
         jobs.upsert_by_month(stream, f"{base}/table", f"{base}/ck_{run}")
     return spark.read.parquet(f"{base}/table").select(*t.columns)
-

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, fault-tolerant folder and is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
+    used as is; without it a cluster session raises. Only a local session
+    (``local[...]``: one machine) gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -53,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            # each machine would write to its own disk and later reads would miss parts
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         # a core setting cannot change at runtime: set the context's folder instead
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="retenta-ckpt-"))
         current = spark.sparkContext.getCheckpointDir()
@@ -66,6 +71,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/retenta-{spark.sparkContext.applicationId}/{name}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A scratch path no earlier call has used: a later run never overwrites
+    files that a lazy result still reads."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the application's scratch tables and delete their folder. Call it
+    when no lazy result reads them any more."""
+    for t in [t.name for t in spark.catalog.listTables() if t.name.startswith("retenta_")]:
+        spark.sql(f"DROP TABLE IF EXISTS `{t}`")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
     """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint
     folder and read it back. Computed once (unlike an eager RDD checkpoint,
@@ -73,9 +93,8 @@ def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
     executor re-reads files instead of recomputing joins and shuffles.
     ``partition_by`` lays the table out by those columns so later filters on
     them prune whole folders."""
-    import uuid
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = fresh_path(spark, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -83,29 +102,18 @@ def materialize(df, name: str = "stage", partition_by: tuple[str, ...] = ()):
     return spark.read.parquet(path)
 
 
-def small_table(df, max_rows: int, name: str = "state"):
-    """Fitted state with an exact row bound: read once and kept as a local
-    relation (later reads run no Spark job). Above ``max_rows`` it is written
-    as a Parquet table instead, so nothing unbounded reaches the driver.
-    Returns (table, rows); rows is None when the table was written."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), rows
-    return materialize(df, name), None
-
-
 def materialize_bucketed(df, name: str, key: str, buckets: int | None = None,
                          partition_by: tuple[str, ...] = ()):
     """Like ``materialize`` but bucketed (and sorted) by ``key`` as a catalog
     table located in the shared checkpoint folder: later group-bys and joins
     on ``key`` between tables with the same bucket count read co-located
     data and need no shuffle."""
-    import uuid
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tag = uuid.uuid4().hex
     table = f"retenta_{name.replace('-', '_')}_{tag}"
-    w = df.write.mode("overwrite").format("parquet").option("path", scratch_path(spark, f"{name}-{tag}"))
+    # by key first: each task then holds whole buckets and writes one file for each
+    w = df.repartition(n, key).write.mode("overwrite").format("parquet").option("path", scratch_path(spark, f"{name}-{tag}"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.bucketBy(n, key).sortBy(key).saveAsTable(table)

@@ -3,14 +3,14 @@
 * ``event_features`` / ``score_events``: online events (JSON text) -> client
   columns + request aggregates computed from the event's own request list
   with array functions (no cross-event state) -> fitted preparation state
-  (static single-row broadcast frames) -> probability -> risk band.
+  (values and a joined label table) -> probability -> risk band.
   The same functions run on a static DataFrame, which is the batch twin.
 * ``request_windows`` / ``sliding_activity``: per-client counts per
   tumbling / sliding event-time window with a watermark.
 * ``dedup_events``: replayed events dropped with
   ``dropDuplicatesWithinWatermark``.
-* ``upsert_by_month``: ``foreachBatch`` with dynamic partition overwrite,
-  so replaying a month replaces it.
+* ``upsert_by_month``: ``foreachBatch`` that merges each micro-batch into the
+  months it carries by client, so a month may span micro-batches.
 
 Aggregations run in update mode into ``write_batches``: each micro-batch is
 written to its own ``batch=<id>`` folder with overwrite (a retried batch
@@ -27,8 +27,8 @@ from retenta.functions.features import engineer
 from retenta.functions.scalar import instant_from_utc, risk_band, utc_wall_clock
 from retenta.functions.schema import ID, REQUEST_COLUMNS
 from retenta.operators.encoding import apply_label_encoder, recode, string_columns
-from retenta.operators.imputation import CLIENT_IMPUTATION, apply_imputation
-from retenta.operators.requests import DISTINCT_OUTPUTS, TOTAL
+from retenta.operators.imputation import CLIENT_IMPUTATION, apply_imputation, imputation_values
+from retenta.operators.requests import DISTINCT_OUTPUTS, PIVOT_PREFIXES, TOTAL, categories_dict
 from retenta.operators.scaling import apply_standardizer
 from retenta.plans.prepare import PreparedState, clean_clients
 from retenta.sources.events import EVENT_SCHEMA, EVENT_CLIENT_COLUMNS, _typed
@@ -41,11 +41,17 @@ def _distinct_in_list(reqs: Column, field: str, fill: Column | None = None) -> C
     return F.size(F.array_distinct(F.array_compact(vals))).cast("bigint")
 
 
-def event_features(events: DataFrame, verdict_fill: Column | None = None, value_col: str = "value") -> DataFrame:
+def _count_in_list(reqs: Column, field: str, value: str, fill: Column | None = None) -> Column:
+    of = lambda r: F.coalesce(r[_REQ_POS[field]], fill) if fill is not None else r[_REQ_POS[field]]
+    return F.size(F.filter(reqs, lambda r: of(r) == F.lit(value))).cast("bigint")
+
+
+def event_features(events: DataFrame, verdict_fill: Column | None = None, value_col: str = "value",
+                   categories: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Client columns plus request aggregates of the event's own list.
 
-    ``verdict_fill`` is the imputed verdict (a column from a broadcast
-    single-row frame), applied inside the list before counting.
+    ``verdict_fill`` is the imputed verdict, applied inside the list before
+    counting; ``categories`` adds the one-hot counts learned at fit time.
     """
     parsed = events.select("*", F.from_json(F.col(value_col), EVENT_SCHEMA).alias("__e"))
     reqs = F.col("__e.body.data_requerimiento")
@@ -55,20 +61,21 @@ def event_features(events: DataFrame, verdict_fill: Column | None = None, value_
     for field, name in DISTINCT_OUTPUTS:
         fill = verdict_fill if field == "DICTAMEN" else None
         aggs.append(_distinct_in_list(reqs, field, fill).alias(name))
+    for field, prefix in PIVOT_PREFIXES:
+        for value in sorted((categories or {}).get(field, ())):
+            aggs.append(_count_in_list(reqs, field, value, verdict_fill if field == "DICTAMEN" else None)
+                        .alias(f"{prefix}_{value}"))
     return parsed.select(*cols, *aggs)
 
 
-def _one_row(params: DataFrame, dataframe: str, variable: str) -> DataFrame:
-    return params.where((F.col("dataframe") == dataframe) & (F.col("variable") == variable)) \
-        .select(F.col("value").alias("__fill")).limit(1)
-
-
 def prepare_events(events: DataFrame, state: PreparedState) -> DataFrame:
-    """Scaled model inputs for each event, using state fitted in batch."""
-    fill = F.broadcast(_one_row(state.imputation, "requerimientos", "DICTAMEN"))
-    feats = event_features(events.crossJoin(fill), F.col("__fill"))
-    c = apply_imputation(clean_clients(feats), state.imputation.where(F.col("dataframe") == "clientes"),
-                         [v for v, _ in CLIENT_IMPUTATION])
+    """Scaled model inputs for each event, using state fitted in batch. A
+    missing parameter, moment or vocabulary raises before the stream starts."""
+    verdict = imputation_values(state.imputation, "requerimientos", ["DICTAMEN"])["DICTAMEN"]
+    names = categories_dict(state.categories) if state.categories is not None else {}
+    feats = event_features(events, F.lit(verdict), categories=names)
+    c = apply_imputation(clean_clients(feats), imputation_values(
+        state.imputation, "clientes", [v for v, _ in CLIENT_IMPUTATION]))
     c = recode(engineer(c))
     # unseen labels must not stop a running stream: they get the next code
     c = apply_label_encoder(c, state.encoder, string_columns(c), on_unseen="keep")
@@ -106,8 +113,10 @@ def request_windows(events: DataFrame, window: str = "1 day", watermark: str = "
 
 
 def sliding_activity(events: DataFrame, length: str = "10 days", slide: str = "5 days",
-                     watermark: str = "1 day", types: Sequence[str] = ("click", "view", "purchase")) -> DataFrame:
-    e = event_time(events).where(F.col("event_type").isin(list(types)))
+                     watermark: str = "1 day", types: Sequence[str] | None = None) -> DataFrame:
+    """``types``: the event types to count; all by default."""
+    e = event_time(events)
+    e = e.where(F.col("event_type").isin(list(types))) if types is not None else e
     return (e.withWatermark("ts", watermark)
             .groupBy("user_id", F.window("ts", length, slide).alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"))
@@ -151,11 +160,13 @@ def write_append(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
 
 
 def upsert_by_month(stream: DataFrame, path: str, checkpoint: str):
-    """Monthly score table: each batch replaces the CODMES partitions it carries."""
-    from retenta.sources.io import write_scores_month
+    """Monthly score table: each micro-batch replaces its clients' rows in the
+    months it carries and leaves the months' other rows, so a month may arrive
+    in many micro-batches, and a replayed one changes nothing."""
+    from retenta.sources.io import merge_scores_month
 
     def sink(batch: DataFrame, batch_id: int):
-        write_scores_month(batch, path)
+        merge_scores_month(batch, path)
     q = (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
          .foreachBatch(sink).start())
     q.awaitTermination()

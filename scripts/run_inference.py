@@ -26,6 +26,8 @@ def main():
     ap.add_argument("--run-ts", required=True, help="UTC run time, yyyy-MM-dd HH:mm:ss")
     ap.add_argument("--model", help="default: the champion written by the training job")
     ap.add_argument("--table")
+    ap.add_argument("--request-months", type=int, nargs=2, help="first and last request month")
+    ap.add_argument("--on-unseen", default="error", choices=("error", "null", "keep"))
     ap.add_argument("--clients")
     ap.add_argument("--requests")
     ap.add_argument("--driver-tables")
@@ -37,8 +39,11 @@ def main():
         clients, requests = standins.clients(t).drop("ATTRITION"), standins.requests(t)
     else:
         clients, requests = spark.read.parquet(a.clients), spark.read.parquet(a.requests)
-    model = a.model or spark.read.parquet(f"{a.train_out}/champion").first()["champion"]
-    out = inference_job(spark, clients, requests, a.train_out, model, a.month, a.run_ts, a.table_path, a.table)
+    champion = spark.read.parquet(f"{a.train_out}/champion").first()
+    if not a.model and not champion["accepted"]:
+        raise SystemExit(f"{champion['champion']} was rejected by the quality gate")
+    out = inference_job(spark, clients, requests, a.train_out, a.model or champion["champion"], a.month, a.run_ts,
+                        a.table_path, a.table, tuple(a.request_months) if a.request_months else None, a.on_unseen)
     print(out.count(), "scored rows")
 
 

@@ -25,7 +25,11 @@ def main():
     ap.add_argument("--clients")
     ap.add_argument("--requests")
     ap.add_argument("--driver-tables")
-    ap.add_argument("--grids", default="quick")
+    ap.add_argument("--grids", default="small")
+    ap.add_argument("--month", type=int, help="client month yyyymm; default: all rows given")
+    ap.add_argument("--request-months", type=int, nargs=2, help="first and last request month")
+    ap.add_argument("--join-how", default="left", choices=("left", "inner"))
+    ap.add_argument("--one-hot", action="store_true")
     ap.add_argument("--metric", default="recall")
     ap.add_argument("--split-mode", default="exact")
     a = ap.parse_args()
@@ -36,8 +40,10 @@ def main():
         clients, requests = standins.clients(t), standins.requests(t)
     else:
         clients, requests = spark.read.parquet(a.clients), spark.read.parquet(a.requests)
-    res = training_job(spark, clients, requests, a.out, grids=a.grids, metric=a.metric, split_mode=a.split_mode)
-    res.champion.write.mode("overwrite").parquet(f"{a.out}/champion")
+    # raises, after the metrics are written, if the champion misses the quality gate
+    res = training_job(spark, clients, requests, a.out, grids=a.grids, metric=a.metric, split_mode=a.split_mode,
+                       month=a.month, request_months=tuple(a.request_months) if a.request_months else None,
+                       join_how=a.join_how, with_pivot_counts=a.one_hot)
     res.champion.show(truncate=False)
 
 

@@ -17,12 +17,12 @@ def test_forest_learns_a_label_built_from_features(spark):
                                              | (F.coalesce("SDO_ACTIVO_MENOS0", F.lit(0)) > 300000)).cast("bigint"))
     train, state = fit_prepare(relabel(tr_c), tr_r)
     test = apply_prepare(relabel(te_c), te_r, state)
-    model = T.fit(T.random_forest(numTrees=20), T.training_frame(train, state.features))
+    model = T.random_forest(numTrees=20).fit(T.training_frame(train, state.features))
     te = T.training_frame(test, state.features, weighted=False)
     p1 = T.predict_proba(model, te)
     auc = roc_auc(p1.join(te.select(ID, LABEL), ID), LABEL, "y_prob").first()["auc"]
     assert auc > 0.8
-    p2 = T.predict_proba(T.fit(T.random_forest(numTrees=20), T.training_frame(train, state.features)), te)
+    p2 = T.predict_proba(T.random_forest(numTrees=20).fit(T.training_frame(train, state.features)), te)
     assert p1.exceptAll(p2).count() == 0
 
 
@@ -34,7 +34,7 @@ def test_training_and_inference_jobs(spark):
     from tests.conftest import SF_SMALL
     out = scratch_path(spark, f"t_train_{uuid.uuid4().hex[:6]}")
     c, r = clients(spark, SF_SMALL), requests(spark, SF_SMALL)
-    res = training_job(spark, c, r, out, run="t")
+    res = training_job(spark, c, r, out, run="t", grids="quick", on_rejected="keep")
     m = res.metrics
     assert {x["model"] for x in m.select("model").distinct().collect()} == {"random_forest", "xgbost"}
     assert m.where("sample = 'test' AND metric = 'auc'").count() == 2

@@ -34,7 +34,7 @@ def test_event_scoring_stream_equals_batch(spark):
     from retenta.registry.common import split_tables
     tr_c, _, tr_r, _, _ = split_tables(spark, SF_SMALL)
     prepared, state = fit_prepare(tr_c, tr_r)
-    model = T.fit(T.random_forest(numTrees=5), T.training_frame(prepared, state.features))
+    model = T.random_forest(numTrees=5).fit(T.training_frame(prepared, state.features))
     asm = T.assembler(state.features)
     base = scratch_path(spark, f"t_score_{uuid.uuid4().hex[:6]}")
     write_event_text(spark, SF_SMALL, f"{base}/in")
