@@ -67,7 +67,7 @@ class WordIds(dict):
 
     _known: dict[tuple[str, str], WordIds] = {}
 
-    def __init__(self, path: str, dtype: str, limit: int = 1_000_000):
+    def __init__(self, path: str, dtype: str, limit: int = 2_000_000):
         super().__init__()
         self.path, self.dtype, self.limit = path, dtype, limit
 
