@@ -178,6 +178,8 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
     found = found.groupBy("y", "x", "other").count().orderBy(F.desc("count"), "y", "x", "other").limit(2 * max_labelled).collect()
     bits = lambda blobs: np.unpackbits(np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, CHOSEN // 8), axis=1)
     own, swaps = [r for r in found if r.y >= 0], [r for r in found if r.y < 0]
+    if not own:  # no labelled id is among the documents
+        return Model(place, weights, float(np.log(n1 / n0)))
     many = [r["count"] for r in own]
     x = np.repeat(bits([r.x for r in own]), many, axis=0).astype(np.float32)
     y = np.repeat(np.array([r.y for r in own], float), many)

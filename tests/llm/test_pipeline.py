@@ -17,7 +17,7 @@ def test_queries_match_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    want = con.execute(queries.SQL[name]).fetch_arrow_table()
+    want = con.execute(queries.SQL[name]).to_arrow_table()
     columns = sorted(want.column_names)
     assert sorted(got.columns) == columns
     rows = lambda table: sorted(map(tuple, table), key=str)
