@@ -10,7 +10,9 @@ into ``BUCKETS`` buckets; a document has a feature or not.
 2. Every sentence of these documents that names a group is swapped: each identity term for
    the next one of its list. A logistic model is fitted by Adam to the labels, plus
    ``PENALTY`` times the mean square of the score change (in logits) between a sentence and
-   its swap. Terms that name a group thus can't carry weight that other terms of the list
+   its swap, over all sentences whose chosen features a swap changes. That mean needs only the
+   sum of d d^T over the feature differences d, which Spark adds up: a matrix of ``CHOSEN``
+   squared numbers, however many sentences there are. Terms that name a group thus can't carry weight that other terms of the list
    don't carry, however often labelled insults stand beside them.
 3. Every document is scored in one pass without a shuffle.
 
@@ -88,6 +90,16 @@ def _chosen_rows(texts: list[bytes], place: np.ndarray) -> np.ndarray:
     return np.packbits(x, axis=1)
 
 
+def _unpacked(rows: np.ndarray) -> np.ndarray:
+    return np.unpackbits(rows, axis=1).view(np.int8)
+
+
+def _found(y: list[int] | None, x: list[bytes] | None, i: list[int] | None, j: list[int] | None, n: list[int]) -> pa.RecordBatch:
+    values = [(y, pa.int32()), (x, pa.binary()), (i, pa.int32()), (j, pa.int32()), (n, pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.nulls(len(n), k) if v is None else pa.array(v, k) for v, k in values],
+                                      ["y", "x", "i", "j", "n"])
+
+
 def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, BUCKETS), np.int64)
     for part, texts in slabs(batches):
@@ -122,17 +134,19 @@ class Model:
         return sigmoid(self.base + np.bincount(doc[at >= 0], self.weights[at[at >= 0]], len(texts)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, apart: np.ndarray, steps: int = 400, rate: float = 0.05,
+def _fit(x: np.ndarray, y: np.ndarray, many: np.ndarray, apart: np.ndarray, steps: int = 400, rate: float = 0.05,
          decay: float = 1e-5, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
-    """``apart``: feature differences between sentences and their swaps."""
+    """``many``: how many documents a row stands for; ``apart``: the mean of d d^T over the
+    feature differences d between sentences and their swaps."""
     p = np.zeros(x.shape[1] + 1, np.float32)
-    p[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    share = many / many.sum()
+    mean = share @ y
+    p[-1] = np.log((mean + 1e-3) / (1 - mean + 1e-3))
     first, second = np.zeros_like(p), np.zeros_like(p)
     for t in range(1, steps + 1):
-        err = (sigmoid(x @ p[:-1] + p[-1]) - y).astype(np.float32) / len(y)
+        err = ((sigmoid(x @ p[:-1] + p[-1]) - y) * share).astype(np.float32)
         grad = np.append(x.T @ err + decay * p[:-1], err.sum())
-        if len(apart):
-            grad[:-1] += 2 * penalty / len(apart) * (apart.T @ (apart @ p[:-1]))
+        grad[:-1] += 2 * penalty * (apart @ p[:-1])
         first += 0.1 * (grad - first)
         second += 0.001 * (grad * grad - second)
         p -= rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
@@ -162,31 +176,34 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
     sent = docs.sparkSession.sparkContext.broadcast(place)
 
     def rows(batches):
+        total, swaps = np.zeros((CHOSEN, CHOSEN), np.int64), 0
         for part, texts in slabs(batches):
-            plain, other = _pairs(texts)
             x = [r.tobytes() for r in _chosen_rows(texts, sent.value)]
-            a = [r.tobytes() for r in _chosen_rows(plain, sent.value)] if plain else []
-            b = [r.tobytes() for r in _chosen_rows(other, sent.value)] if plain else []
-            differ = [(p, q) for p, q in zip(a, b, strict=True) if p != q]
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([part.column("y").cast(pa.int32()), pa.array([-1] * len(differ), pa.int32())]),
-                 pa.array(x + [p for p, _ in differ], pa.binary()), pa.array([None] * len(x) + [q for _, q in differ], pa.binary())],
-                ["y", "x", "other"])
-
-    found = arrow_map(marked.select("y", "text"), rows, "y int, x binary, other binary")
-    # differing swaps are counted, not listed: their number follows the sentences, their kinds the chosen features
-    found = found.groupBy("y", "x", "other").count().orderBy(F.desc("count"), "y", "x", "other").limit(2 * max_labelled).collect()
-    bits = lambda blobs: np.unpackbits(np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, CHOSEN // 8), axis=1)
-    own, swaps = [r for r in found if r.y >= 0], [r for r in found if r.y < 0]
+            yield _found(part.column("y").to_pylist(), x, None, None, [1] * len(x))
+            plain, other = _pairs(texts)
+            if plain:
+                d = _unpacked(_chosen_rows(plain, sent.value)) - _unpacked(_chosen_rows(other, sent.value))
+                d = d[d.any(axis=1)]
+                used = np.flatnonzero(d.any(axis=0))
+                d = d[:, used].astype(float)
+                total[np.ix_(used, used)] += (d.T @ d).astype(np.int64)
+                swaps += len(d)
+        i, j = np.nonzero(np.triu(total))
+        yield _found(None, None, [*i.tolist(), -1], [*j.tolist(), -1], [*total[i, j].tolist(), swaps])
+
+    found = arrow_map(marked.select("y", "text"), rows, "y int, x binary, i int, j int, n long")
+    # labelled rows (their ids are at most max_labelled) and half of CHOSEN * CHOSEN sums; nothing is cut
+    found = found.groupBy("y", "x", "i", "j").agg(F.sum("n").alias("n")).orderBy("y", "x", "i", "j").collect()
+    own = [r for r in found if r.y is not None]
     if not own:  # no labelled id is among the documents
         return Model(place, weights, float(np.log(n1 / n0)))
-    many = [r["count"] for r in own]
-    x = np.repeat(bits([r.x for r in own]), many, axis=0).astype(np.float32)
-    y = np.repeat(np.array([r.y for r in own], float), many)
-    apart = np.zeros((0, CHOSEN), np.float32)
-    if swaps:
-        apart = bits([r.x for r in swaps]).astype(np.float32) - bits([r.other for r in swaps])
-    w, base = _fit(x, y, apart, penalty=penalty)
+    x = _unpacked(np.frombuffer(b"".join(r.x for r in own), np.uint8).reshape(-1, CHOSEN // 8)).astype(np.float32)
+    y, many = np.array([r.y for r in own], float), np.array([r.n for r in own], float)
+    apart, swaps = np.zeros((CHOSEN, CHOSEN)), sum(r.n for r in found if r.i == -1)
+    for r in found:
+        if r.i is not None and r.i >= 0:
+            apart[r.i, r.j] = apart[r.j, r.i] = r.n / swaps
+    w, base = _fit(x, y, many, apart.astype(np.float32), penalty=penalty)
     return Model(place, w, base)
 
 

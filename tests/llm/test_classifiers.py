@@ -79,3 +79,22 @@ def test_penalty_frees_group_mentions(spark):
     free = toxicity.trained(docs, labels, penalty=0.0).scores(text)[0]
     held = toxicity.trained(docs, labels, penalty=5.0).scores(text)[0]
     assert held < free and held < 0.5
+
+
+def test_many_swaps_cut_no_labelled_row(spark):
+    # 60 labelled documents with far more than 2 * 60 kinds of swaps
+    import random
+    rnd = random.Random(3)
+    docs, labels = [], []
+    for i in range(60):
+        toxic = i % 3 == 0
+        # each document has words of its own choice, so no two labelled rows are alike
+        words = rnd.sample([f"{'vile' if toxic else 'calm'}{chr(97 + k) * 3}" for k in range(24)], 14)
+        start = "The women are" if toxic else "The gardens are"
+        docs.append((i, " ".join(f"{start} {' '.join(rnd.sample(words, rnd.randint(3, 9)))}." for _ in range(40))))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.trained(docs, labels, max_labelled=60)
+    toxic, calm = model.scores([b"vileaaa vilebbb vileccc vileddd", b"calmaaa calmbbb calmccc calmddd"])
+    assert toxic > 0.5 > calm
