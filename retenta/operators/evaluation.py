@@ -19,6 +19,15 @@ from retenta.operators.ordering import running_sums
 FLOAT64_EPS = 2.220446049250313e-16
 
 
+def join_groups(left: DataFrame, right: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Inner join on the group columns in which a null group meets itself."""
+    keys = [f"__g{i}" for i in range(len(group_cols))]
+    named = right.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(group_cols, keys, strict=True)],
+                         *[F.col(f"`{c}`") for c in right.columns if c not in group_cols])
+    cond = [F.col(f"`{c}`").eqNullSafe(F.col(k)) for c, k in zip(group_cols, keys, strict=True)]
+    return left.join(named, cond).drop(*keys)
+
+
 def score_counts(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
     return (df.where(F.col(score).isNotNull())
             .groupBy(*group_cols, F.col(score).alias("threshold"))
@@ -39,7 +48,7 @@ def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] =
         origin = totals.select(*g, F.lit(float("inf")).alias("threshold"),
                                F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp"))
         curve = curve.unionByName(origin.select(*g, "threshold", "tp", "fp"))
-    out = curve.join(totals, g) if g else curve.crossJoin(totals)
+    out = join_groups(curve, totals, g) if g else curve.crossJoin(totals)
     return out.select(*g, "threshold", "tp", "fp", "P", "N",
                       F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("tpr"),
                       F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"))

@@ -35,7 +35,10 @@ def class_weight_balanced(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    return df.join(F.broadcast(class_weight_balanced(df, label).withColumnRenamed("weight", weight_col)), label)
+    """Every row with its class's weight; a row without a label raises."""
+    weights = class_weight_balanced(df, label).withColumnRenamed("weight", weight_col)
+    missing = F.raise_error(F.lit(f"a row has no label ({label} is null)")).cast("double")
+    return df.join(F.broadcast(weights), label, "left").withColumn(weight_col, F.coalesce(weight_col, missing))
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

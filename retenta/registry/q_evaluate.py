@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retenta.functions.schema import ID, LABEL
-from retenta.operators.evaluation import (classification_report, confusion_matrix, log_loss, precision_recall_f1,
-                                          quality_gate, roc_auc, roc_curve, select_champion, youden_threshold)
+from retenta.operators.evaluation import (classification_report, confusion_matrix, join_groups, log_loss,
+                                          precision_recall_f1, quality_gate, roc_auc, roc_curve, select_champion,
+                                          youden_threshold)
 from retenta.operators.split import kfold_assign
 from retenta.registry import register
 from retenta.registry.common import clients, rounded, scores, split_assignment, split_tables
@@ -120,9 +121,9 @@ def metrics_table(spark, sf) -> DataFrame:
                              (F.lit(1.0) / (1 + F.coalesce(F.col("NRO_ENTID_SSFF_MENOS0"), F.lit(0)))).alias("s"))
     ys = a.unionByName(b)
     t = youden_threshold(roc_curve(ys, "y", "s", ["grp"]), ["grp"]).select("grp", F.col("threshold").alias("__t"))
-    prf = precision_recall_f1(ys.join(F.broadcast(t), "grp"), "y", "s", "__t", ["grp"])
+    prf = precision_recall_f1(join_groups(ys, F.broadcast(t), ["grp"]), "y", "s", "__t", ["grp"])
     auc = roc_auc(ys, "y", "s", ["grp"])
-    wide = auc.join(prf, "grp")
+    wide = join_groups(auc, prf, ["grp"])
     long = wide.selectExpr("grp", "stack(3, 'auc', auc, 'recall', recall, 'f1', f1) AS (metric, value)")
     return long.select(F.lit("r1").alias("run"), F.split_part("grp", F.lit("|"), F.lit(1)).alias("model"),
                        F.split_part("grp", F.lit("|"), F.lit(2)).alias("sample"), "metric", "value")

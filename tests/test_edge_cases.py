@@ -130,3 +130,29 @@ def test_empty_table(spark):
     reqs = spark.createDataFrame([], "ID_CORRELATIVO long, TIPO_REQUERIMIENTO2 string, DICTAMEN string, "
                                      "CODMES long, PRODUCTO_SERVICIO_2 string, SUBMOTIVO_2 string")
     assert request_profile(reqs).count() == 0
+
+
+def test_null_group_stays_in_grouped_roc(spark):
+    df = spark.createDataFrame([("a", 1, 0.9), ("a", 0, 0.1), (None, 1, 0.8), (None, 0, 0.3)], "g string, y int, s double")
+    curve = roc_curve(df, "y", "s", ["g"])
+    assert sorted((r.g or "", r.threshold) for r in curve.collect()) == [
+        ("", 0.3), ("", 0.8), ("", math.inf), ("a", 0.1), ("a", 0.9), ("a", math.inf)]
+    assert {r.g: r.threshold for r in youden_threshold(curve, ["g"]).collect()} == {"a": 0.9, None: 0.8}
+
+
+def test_grouped_metrics_keep_a_null_sample(spark):
+    from retenta.functions.schema import LABEL
+    from retenta.plans.batch import evaluate
+    df = spark.createDataFrame([("train", 1.0, 0.9), ("train", 0.0, 0.1), (None, 1.0, 0.8), (None, 0.0, 0.3)],
+                               f"sample string, {LABEL} double, y_prob double")
+    assert {(r["sample"], r["metric"]) for r in evaluate(df, "r", "m").collect()} == {
+        (s, m) for s in ("train", None) for m in ("auc", "precision", "recall", "f1", "log_loss")}
+
+
+def test_class_weight_raises_for_a_null_label(spark):
+    from retenta.operators.profiling import with_class_weight
+    df = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, None)], "id int, y int")
+    with pytest.raises(Exception, match="y is null"):
+        with_class_weight(df, "y").collect()
+    kept = with_class_weight(df.where("y is not null"), "y").collect()
+    assert {r.id: r.weight for r in kept} == {1: 1.5, 2: 0.75, 3: 0.75}
