@@ -65,7 +65,7 @@ def q_stream_score_events(spark, sf):
     from retenta.registry.common import split_tables
     tr_c, _, tr_r, _, _ = split_tables(spark, sf)
     prepared, state = fit_prepare(tr_c, tr_r)
-    model = T.random_forest(numTrees=20).fit(T.training_frame(prepared, state.features))
+    model = T.random_forest().fit(T.training_frame(prepared, state.features))
     base = _run_dir(spark, "score_events")
     write_event_text(spark, sf, f"{base}/in")
     stream = spark.readStream.schema("value string").text(f"{base}/in")
