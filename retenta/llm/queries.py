@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retenta.llm import ann, arrow_store, bpe, line_dedup, mixing, quality, simhash, suffix_dedup, topk, toxicity
+from retenta.llm import (align, ann, arrow_store, bpe, hard_negatives, line_dedup, mixing, quality, sharding, simhash, suffix_dedup, topk,
+                         toxicity)
 from retenta.llm.frames import documents
 
 
@@ -54,10 +55,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removal_report(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment_digest(documents(spark, sf_dir))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.plan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_quality_classifier, op3_toxicity, op4_simhash_near_dedup, op5_exact_topk, op6_source_mixing,
-        op7_nearest_neighbours, op8_arrow_token_output, op9_bpe_round_trip, op10_line_dedup)}
+        op7_nearest_neighbours, op8_arrow_token_output, op9_bpe_round_trip, op10_line_dedup, op11_hard_negatives,
+        op12_token_alignment, op13_sharding)}
 
 SQL: dict[str, str] = {
-    "op5_exact_topk": topk.SQL, "op6_source_mixing": mixing.SQL, "op7_nearest_neighbours": ann.SQL}
+    "op5_exact_topk": topk.SQL, "op6_source_mixing": mixing.SQL, "op7_nearest_neighbours": ann.SQL,
+    "op11_hard_negatives": hard_negatives.SQL}
