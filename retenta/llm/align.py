@@ -8,9 +8,9 @@ exactly at the offsets where a token of each ends.
 
 1. Chunks. Neither vocabulary joins a sign that isn't white space with a blank after it, so a text
    falls into chunks there that are encoded, and aligned, as if alone. Whether this
-   holds is read off the vocabularies' rules; otherwise a text is one chunk. A task encodes each
-   distinct chunk once (a table bounded by bytes remembers them) and aligns them all in one sort.
-2. A slab of documents (``SLAB`` bytes of text) becomes one row: per document its tokens, groups
+   holds is read off the vocabularies' pieces; otherwise a text is one chunk.
+2. Of a slab of documents (``SLAB`` bytes of text) each distinct chunk is encoded once, many are
+   aligned in one sort, and the slab becomes one row: per document its tokens, groups
    and links counted, the digest of its groups, and the places of its chunks among the slab's
    distinct ones; each chunk's id pairs; each id pair and how many documents of the slab hold it.
 3. Spark sums the documents of every id pair over the slabs, and finds each A id's highest sum
@@ -32,7 +32,7 @@ import hashlib
 import itertools
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -48,9 +48,7 @@ from retenta.session import materialize
 
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
-SLAB = 4 << 20
-#: Bytes of remembered chunks in a Python worker.
-REMEMBERED = 64 << 20
+SLAB = 16 << 20
 _CUT = re.compile(f"(?<=[^{BLANK}])(?= )")
 _loaded: dict[tuple, object] = {}
 
@@ -83,16 +81,26 @@ class Sides:
             _loaded[a, b] = cls(a, b)
         return _loaded[a, b]
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """Ids of both sides, and whether their bytes are the chunk's."""
-        own = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+    def encode(self, chunks: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """Of both sides the ids of all chunks whose tokens' bytes are the chunk's, and how many of
+        each; and which chunks these are."""
+        joined = "".join(chunks)
         other = self.b.encode([c[1:] for c in chunks], num_threads=1)  # it puts the blank back, but not before nothing
         other = [y if len(c) > 1 else [self.blank] for c, y in zip(chunks, other, strict=True)]
-        fine = [True] * len(chunks)
-        for table, found in ((self.a_bytes, own), (self.b_bytes, other)):
-            if b"".join(map(table.__getitem__, chain.from_iterable(found))) != "".join(chunks).encode():
-                fine = [f and b"".join(map(table.__getitem__, x)) == c.encode() for f, x, c in zip(fine, found, chunks, strict=True)]
-        return own, other, fine
+        both = [_flat([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]), _flat(other)]
+        lengths = np.fromiter(map(len, chunks if joined.isascii() else map(str.encode, chunks)), np.int64, len(chunks))
+        fine = np.ones(len(chunks), bool)
+        for (ids, count), table, size in zip(both, (self.a_bytes, self.b_bytes), (self.a_size, self.b_size), strict=True):
+            ends = np.append(0, np.cumsum(size[ids]))[np.cumsum(count)]
+            if b"".join(map(table.__getitem__, ids.tolist())) != joined.encode() or (np.diff(ends, prepend=0) != lengths).any():
+                parts = np.split(ids, np.cumsum(count)[:-1])
+                fine &= [b"".join(map(table.__getitem__, x.tolist())) == c.encode() for x, c in zip(parts, chunks, strict=True)]
+        return [ids[np.repeat(fine, count)] for ids, count in both], [count[fine] for _, count in both], fine
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    count = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, count.sum()), count
 
 
 def chunks_of(text: str, cuts: bool = True) -> list[str]:
@@ -126,13 +134,12 @@ def linked(group_a: np.ndarray, a: np.ndarray, group_b: np.ndarray, b: np.ndarra
 
 
 class Aligned:
-    """A chunk's part of a document: counts, its groups as text (each closed by a semicolon), and
-    its links: pairs of ids and how often each occurs, packed."""
+    """Chunks aligned: per chunk whether it has tokens (``fine``), the ``counts`` of A tokens, B
+    tokens, groups and links, and its groups as text, each closed by a semicolon; and all links, by
+    chunk: the chunk's place, the pair of ids, and how often it occurs."""
 
-    __slots__ = ("links", "n_a", "n_b", "n_groups", "n_links", "text")
-
-    def __init__(self, n_a, n_b, n_groups, n_links, text, links):
-        self.n_a, self.n_b, self.n_groups, self.n_links, self.text, self.links = n_a, n_b, n_groups, n_links, text, links
+    def __init__(self, fine, counts, texts, links):
+        self.fine, self.counts, self.texts, self.links = fine, counts, texts, links
 
 
 def _group_texts(sides: Sides, ids: list[np.ndarray], groups: list[np.ndarray], edge: np.ndarray) -> list[str]:
@@ -148,14 +155,11 @@ def _group_texts(sides: Sides, ids: list[np.ndarray], groups: list[np.ndarray],
     return ["".join(words[x:y]) for x, y in itertools.pairwise(at)]
 
 
-def align(sides: Sides, chunks: list[str]) -> list[Aligned | None]:
-    """Each chunk aligned, all of them in one sort; None where the tokens' bytes are not the chunk's."""
-    *found, fine = sides.encode(chunks)
-    found = [list(itertools.compress(x, fine)) for x in found]
-    if not found[0]:
-        return [None] * len(chunks)
-    count = [np.fromiter(map(len, x), np.int64, len(x)) for x in found]
-    ids = [np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in zip(found, count, strict=True)]
+def _aligned(sides: Sides, chunks: list[str]) -> Aligned:
+    ids, count, fine = sides.encode(chunks)
+    counts, texts = np.zeros((len(chunks), 4), np.int64), [""] * len(chunks)
+    if not fine.any():
+        return Aligned(fine, counts, texts, np.empty((3, 0), np.int64))
     size = [table[i] for table, i in zip((sides.a_size, sides.b_size), ids, strict=True)]
     end = [np.cumsum(s) for s in size]
     start = [e - s for e, s in zip(end, size, strict=True)]
@@ -166,41 +170,46 @@ def align(sides: Sides, chunks: list[str]) -> list[Aligned | None]:
     groups = [of[:len(ids[0])], of[len(ids[0]):]]
     # both sides tile all chunks, so each chunk begins a group, and its groups are neighbours
     edge = np.append(groups[0][np.cumsum(count[0]) - count[0]], group[-1] + 1)
-    per_group = np.bincount(groups[0]) * np.bincount(groups[1])
-    links = np.add.reduceat(per_group, edge[:-1]).tolist()
-    texts = _group_texts(sides, ids, groups, edge)
+    links = np.add.reduceat(np.bincount(groups[0]) * np.bincount(groups[1]), edge[:-1])
+    counts[fine] = np.stack((*count, np.diff(edge), links), axis=1)
+    places = np.flatnonzero(fine)
+    for i, text in zip(places.tolist(), _group_texts(sides, ids, groups, edge), strict=True):
+        texts[i] = text
     g, la, lb, mult = linked(groups[0], ids[0], groups[1], ids[1])
-    pairs = np.stack((la << 32 | lb, mult), axis=1)
-    at = np.searchsorted(g, edge).tolist()
-    out = iter([Aligned(*x[:4], x[4], pairs[x[5]:x[6]].tobytes()) for x in zip(
-        count[0].tolist(), count[1].tolist(), np.diff(edge).tolist(), links, texts, at[:-1], at[1:], strict=True)])
-    return [next(out) if f else None for f in fine]
+    chunk = places[np.searchsorted(edge, g, "right") - 1]
+    return Aligned(fine, counts, texts, np.stack((chunk, la << 32 | lb, mult)))
+
 
+def align(sides: Sides, chunks: list[str], step: int = 1 << 15) -> Aligned:
+    """``step`` chunks in one sort."""
+    parts = [_aligned(sides, chunks[i:i + step]) for i in range(0, len(chunks), step)]
+    for i, p in enumerate(parts):
+        p.links[0] += i * step
+    none = Aligned(np.empty(0, bool), np.empty((0, 4), np.int64), [], np.empty((3, 0), np.int64))
+    return Aligned(np.concatenate([p.fine for p in (none, *parts)]), np.concatenate([p.counts for p in (none, *parts)]),
+                   list(chain.from_iterable(p.texts for p in parts)), np.concatenate([p.links for p in (none, *parts)], axis=1))
 
-class Remembered(dict):
-    """Chunks and their alignment, emptied by half when they hold ``limit`` bytes or so."""
 
-    def __init__(self, sides: Sides, limit: int = REMEMBERED):
-        super().__init__()
-        self.sides, self.limit, self.held = sides, limit, 0
+class _Places(dict):
+    """Numbers chunks in the order in which they are first asked for."""
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        new = [c for c in chunks if c not in self]
-        for i in range(0, len(new), 1 << 14):
-            some = new[i:i + (1 << 14)]
-            found = align(self.sides, some)
-            self.update(zip(some, found, strict=True))
-            self.held += self._size(some, found)
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = n = len(self)
+        return n
 
-    @staticmethod
-    def _size(chunks: list[str], found: list[Aligned | None]) -> int:
-        return 400 * len(chunks) + sum(map(len, chunks)) + sum(len(a.text) + len(a.links) for a in found if a)
 
-    def shrink(self) -> None:
-        """Between slabs, so that what a slab has learnt stays while it needs it."""
-        if self.held > self.limit:
-            old = list(itertools.islice(self, len(self) // 2 + 1))
-            self.held -= self._size(old, [self.pop(c) for c in old])
+def _cut_and_aligned(sides: Sides, texts: list[bytes]) -> tuple[list[np.ndarray], Aligned]:
+    """Each text's chunks by their places among the distinct ones, none for a text without
+    tokens; and the distinct ones aligned."""
+    place = _Places()
+    places = []
+    for t in texts:
+        chunks = chunks_of(" " + t.decode("utf-8", "replace"), sides.cuts) if t else []
+        places.append(np.fromiter(map(place.__getitem__, chunks), np.uint32, len(chunks)))
+    found = align(sides, list(place))
+    if not found.fine.all():
+        places = [p if found.fine[p].all() else p[:0] for p in places]
+    return places, found
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -215,37 +224,27 @@ DOCS = "ids array<long>, counts binary, digests array<string>"
 SLABS = f"slab long, {DOCS}, places binary, chunks int, links binary, pairs array<long>, held array<int>"
 
 
-def _slab_row(slab: int, doc_ids: list, texts: list[bytes], known: Remembered) -> pa.RecordBatch:
-    cut = [chunks_of(" " + t.decode("utf-8", "replace"), known.sides.cuts) if t else [] for t in texts]
-    distinct = {c: None for chunks in cut for c in chunks}
-    known.learn(distinct)
-    bad = {c for c in distinct if known[c] is None}
-    if bad:
-        cut = [[] if not bad.isdisjoint(chunks) else chunks for chunks in cut]
-        distinct = {c: None for chunks in cut for c in chunks}
-    place = {c: i for i, c in enumerate(distinct)}
-    found = [known[c] for c in distinct]
-    counts = np.array([(a.n_a, a.n_b, a.n_groups, a.n_links) for a in found], np.int64).reshape(-1, 4)
-    texts_of = [a.text for a in found]
-    places = [np.fromiter(map(place.__getitem__, chunks), np.uint32, len(chunks)) for chunks in cut]
-    totals = np.array([counts[p].sum(axis=0) for p in places], np.int64).reshape(-1, 4)
-    digests = [hashlib.sha256("".join(map(texts_of.__getitem__, p.tolist()))[:-1].encode()).hexdigest() if len(p) else "" for p in places]
-    # links by chunk: (chunk, pair, how often)
-    raw, mult = np.frombuffer(b"".join(a.links for a in found), np.int64).reshape(-1, 2).T
-    many = np.array([len(a.links) // 16 for a in found], np.int64)
-    pairs, which = np.unique(raw, return_inverse=True)
+def _slab_row(slab: int, doc_ids: list, texts: list[bytes], sides: Sides) -> pa.RecordBatch:
+    places, found = _cut_and_aligned(sides, texts)
+    counts = np.array([found.counts[p].sum(axis=0) for p in places], np.int64).reshape(-1, 4)
+    digests = [hashlib.sha256("".join(map(found.texts.__getitem__, p.tolist()))[:-1].encode()).hexdigest() if len(p) else "" for p in places]
+    flat = np.concatenate([*places, np.empty(0, np.uint32)])
+    n = len(found.fine)
+    used = np.bincount(flat, minlength=n) > 0  # by texts with tokens
+    chunk, pair, mult = found.links[:, used[found.links[0]]]
+    many = np.bincount(chunk, minlength=n)
+    pairs, which = np.unique(pair, return_inverse=True)
     # documents that hold a pair: each document's distinct chunks, their pairs, distinct
-    held = np.zeros(len(pairs), np.int32)
-    edge = np.append(0, np.cumsum(many))
+    held, edge = np.zeros(len(pairs), np.int32), np.append(0, np.cumsum(many))
     for p in places:
         mine = np.unique(p)
-        n = many[mine]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(edge[mine], n)
+        own = many[mine]
+        at = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own) + np.repeat(edge[mine], own)
         held[np.unique(which[at])] += 1
     lengths = np.array([len(p) for p in places], np.int64)
-    row = {"slab": [slab], "ids": [doc_ids], "counts": [np.concatenate((totals, lengths[:, None]), axis=1).tobytes()], "digests": [digests],
-           "places": [_packed(np.concatenate([*places, np.empty(0, np.uint32)]))],
-           "chunks": [len(found)], "links": [_packed(np.concatenate((many, which, mult)))], "pairs": [pairs], "held": [held]}
+    row = {"slab": [slab], "ids": [doc_ids], "counts": [np.concatenate((counts, lengths[:, None]), axis=1).tobytes()], "digests": [digests],
+           "places": [_packed(flat)], "chunks": [n], "links": [_packed(np.concatenate((many, which, mult)).astype("<i4"))], "pairs": [pairs],
+           "held": [held]}
     kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], list(row))
 
@@ -253,11 +252,9 @@ def _slab_row(slab: int, doc_ids: list, texts: list[bytes], known: Remembered) -
 def _slabs(a: str, b: str):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = Sides.of(a, b)
-        known = _loaded.setdefault((a, b, "chunks"), Remembered(sides))
         slab = TaskContext.get().partitionId() << 32
         for part, texts in slabs(_joined(batches), limit=SLAB):
-            yield _slab_row(slab, part.column("doc_id").to_pylist(), texts, known)
-            known.shrink()
+            yield _slab_row(slab, part.column("doc_id").to_pylist(), texts, sides)
             slab += 1
     return make
 
@@ -309,7 +306,7 @@ def _summed(rows: pa.Table, answers: pa.Table) -> pa.Table:
         order = np.argsort(answers.column("pair").to_numpy())  # a slab's pairs are sorted too
         documents, best = (answers.column(c).to_numpy()[order].astype(np.int64) for c in ("documents", "best"))
         table = np.frombuffer(row["counts"], np.int64).reshape(-1, 5)
-        flat = _unpacked(row["links"], "<i8")
+        flat = _unpacked(row["links"], "<i4").astype(np.int64)
         n = row["chunks"]
         many, which, mult = flat[:n], flat[n:n + (len(flat) - n) // 2], flat[n + (len(flat) - n) // 2:]
         edge = np.append(0, np.cumsum(many))
@@ -342,18 +339,15 @@ def token_groups(docs: DataFrame, a: str | None = None, b: str | None = None) ->
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = Sides.of(a, b)
-        known = _loaded.setdefault((a, b, "chunks"), Remembered(sides))
         for part, texts in slabs(batches):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
-                cut = chunks_of(" " + text.decode("utf-8", "replace"), sides.cuts) if text else []
-                known.learn(dict.fromkeys(cut))
-                if cut and all(known[c] for c in cut):
-                    groups = [g.split("|") for c in cut for g in known[c].text[:-1].split(";")]
+            places, found = _cut_and_aligned(sides, texts)
+            for doc_id, p in zip(part.column("doc_id").to_pylist(), places, strict=True):
+                if len(p):
+                    groups = [g.split("|") for g in "".join(map(found.texts.__getitem__, p.tolist()))[:-1].split(";")]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([doc_id] * len(groups), pa.int64()), pa.array(range(len(groups)), pa.int64()),
                         *[pa.array([[int(i) for i in g[s].split(",")] for g in groups], pa.list_(pa.int32())) for s in (0, 1)]],
                         ["doc_id", "group", "a_ids", "b_ids"])
-                known.shrink()
 
     rows = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").alias("text"))
     return arrow_map(rows, make, "doc_id long, group long, a_ids array<int>, b_ids array<int>")

@@ -93,20 +93,18 @@ def test_links_and_groups_of_the_general_interface(spark):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab. \n\t'é日 　▁<s>0xA0\U0001f600"), max_size=40), min_size=1, max_size=6))
 def test_chunks_are_aligned_as_the_whole_text(texts):
-    known = align.Remembered(sides())
-    row = align._slab_row(0, list(range(len(texts))), [t.encode() for t in texts], known).to_pylist()[0]
+    row = align._slab_row(0, list(range(len(texts))), [t.encode() for t in texts], sides()).to_pylist()[0]
     table = np.frombuffer(row["counts"], np.int64).reshape(-1, 5)[:, :4].tolist()
     want = brute(list(enumerate(texts)))
     assert [tuple(x) for x in table] == [w[1:5] for w in sorted(want)]
     assert row["digests"] == [w[7] for w in sorted(want)]
 
 
-def test_remembered_chunks_stay_within_their_bound():
-    known = align.Remembered(sides(), limit=200_000)
-    for i in range(30):
-        known.learn([f" w{i}x{j}" for j in range(200)])
-        known.shrink()
-        assert known.held <= 200_000 and known.held == known._size(list(known), list(known.values()))
+def test_steps_of_chunks_make_no_difference():
+    chunks = [f" w{i} {'é▁'[i % 2] * (i % 5 == 0)}".rstrip() for i in range(100)]
+    one, many = align.align(sides(), chunks), align.align(sides(), chunks, step=7)
+    assert (one.counts == many.counts).all() and one.texts == many.texts and not one.fine.all()
+    assert sorted(one.links.T.tolist()) == sorted(many.links.T.tolist())
 
 
 @pytest.mark.parametrize("n", [1, 7, 300])
