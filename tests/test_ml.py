@@ -65,3 +65,34 @@ def test_cv_std_is_population_std_of_fold_scores(spark):
         scores = [ev.evaluate(cvm.subModels[f][j].transform(tr.where(F.col("fold") == f))) for f in range(3)]
         assert abs(np.mean(scores) - cvm.avgMetrics[j]) < 1e-9
         assert abs(np.std(scores) - cvm.stdMetrics[j]) < 1e-9
+
+
+def test_search_equals_separate_fits(spark):
+    """Models grown together, in batches, and shorter runs read off longer ones score as fits of their own."""
+    import numpy as np
+    from retenta.learning import boosting as B
+    from retenta.operators.split import kfold_assign
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4)).round(1)
+    rows = [(i, float(a[0] + a[1] + rng.normal() > 0), a.tolist()) for i, a in enumerate(x)]
+    df = spark.createDataFrame(rows, f"{ID} long, {LABEL} double, x array<double>")
+    tr = kfold_assign(df, k=3).select(ID, LABEL, "fold", "x")
+    points = T.boosted_points({"max_depth": [2, 3], "eta": [0.3], "subsample": [0.7], "n_estimators": [2, 4], "scale_pos_weight": [1, 5]})
+    together = T.TOGETHER
+    try:
+        T.TOGETHER = 5
+        T.boosting.vectors, plain = (lambda d, _: d), T.boosting.vectors
+        search = T.BoostedSearch(tr, points)
+    finally:
+        T.TOGETHER, T.boosting.vectors = together, plain
+    assert len(search.auc) == 24
+    for p in points:
+        for f in range(3):
+            model = B.fit(tr.where(F.col("fold") != f), p, LABEL, ID, cuts=search.cuts)
+            held = model.probabilities(tr.where(F.col("fold") == f), "x", [LABEL])
+            assert abs(roc_auc(held, LABEL, "y_prob").first()["auc"] - search.auc[p, f]) < 1e-9
+    table = search.results(spark).collect()
+    best = max(table, key=lambda r: r.mean_test_score)
+    assert best.rank_test_score == 1 and len(table) == 8
+    assert abs(best.mean_test_score - np.mean(search.scores(search.best()))) < 1e-12
+    assert abs(best.std_test_score - np.std(search.scores(search.best()))) < 1e-12
