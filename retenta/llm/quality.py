@@ -42,6 +42,8 @@ SALTS = 16
 MAX_LABELLED = 20_000
 FEATURES = DIM + 7
 THRESHOLD = 0.3
+#: Words whose vectors are looked up at once.
+PIECE = 1 << 15
 
 
 def index_vectors(seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -102,14 +104,17 @@ def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
         return out
     w, count = _buckets(slab), np.bincount(slab.doc, minlength=n)
     safe = np.maximum(count, 1)
-    first = np.flatnonzero(np.diff(slab.doc, prepend=-1))
-    out[slab.doc[first], :DIM] = np.add.reduceat(vectors[w], first, axis=0)
+    alike, same = np.zeros(n), np.zeros(n)
+    for at in range(0, len(w), PIECE):  # with the first word of the next piece, for the pair across
+        own, doc = vectors[w[at:at + PIECE + 1]], slab.doc[at:at + PIECE + 1]
+        near = np.flatnonzero(doc[1:] == doc[:-1])
+        alike += np.bincount(doc[near], np.einsum("ij,ij->i", own[near], own[near + 1]), n)
+        same += np.bincount(doc[near], w[at + near] == w[at + near + 1], n)
+        own, doc = own[:PIECE], doc[:PIECE]
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        out[doc[first], :DIM] += np.add.reduceat(own, first, axis=0)
     out[:, :DIM] /= safe[:, None]
-    near = slab.doc[1:] == slab.doc[:-1]
-    a, b, doc = w[:-1][near], w[1:][near], slab.doc[1:][near]
-    alike = np.einsum("ij,ij->i", vectors[a], vectors[b])
-    sums = [np.bincount(doc, alike, n), np.bincount(doc, a == b, n), *[np.bincount(slab.doc, slab.kind == k, n) for k in (1, 2, 3)],
-            np.bincount(slab.doc, slab.end - slab.start, n) / 8]
+    sums = [alike, same, *[np.bincount(slab.doc, slab.kind == k, n) for k in (1, 2, 3)], np.bincount(slab.doc, slab.end - slab.start, n) / 8]
     for i, s in enumerate(sums):
         out[:, DIM + i] = s / safe
     out[:, DIM + 6] = np.log1p(count)
@@ -169,12 +174,13 @@ def scores(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: in
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
              max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """The documents that score at least ``threshold``, whole rows. The text is pooled again
-    beside its row, so no join moves it."""
+    """The documents that score at least ``threshold``, whole rows: those that ``scores`` predicts 1.
+    The text is pooled again beside its row, so no join moves it."""
     vectors = word_vectors(docs)
-    marked = docs.join(F.broadcast(sampled_ids(labels, "quality", 5, 0, max_labelled)),
-                       column(docs, "doc_id") == F.col("__quality_id"), "left_semi")
-    net = trained(features(marked, vectors, column(marked, "doc_id")), labels, "quality", 5, 0, max_labelled)
+    texts = docs.select(column(docs, "doc_id").alias("doc_id"), column(docs, "text").alias("text"))
+    ids = sampled_ids(labels, "quality", 5, 0, max_labelled, texts.select("doc_id"))
+    marked = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("__quality_id"), "left_semi")
+    net = trained(features(marked, vectors, F.col("doc_id")), labels, "quality", 5, 0, max_labelled)
     spark, kept = docs.sparkSession, docs.select(whole_rows(docs).alias("row"), column(docs, "text").alias("text"))
     sent = spark.sparkContext.broadcast((vectors, net))
 
@@ -187,9 +193,12 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     return unwrapped(arrow_map(kept, keep, kept.select("row").schema), "row", docs)
 
 
-def sampled_ids(labels: DataFrame, label: str, folds: int, held: int, most: int) -> DataFrame:
-    """``most`` doc_ids at most: those labelled, outside the held-out fold, of smallest hash."""
+def sampled_ids(labels: DataFrame, label: str, folds: int, held: int, most: int, of: DataFrame | None = None) -> DataFrame:
+    """``most`` doc_ids at most: those labelled, outside the held-out fold, of smallest hash.
+    ``of``: a table of the doc_ids to choose from."""
     ids = labels.where(column(labels, label).isNotNull() & column(labels, "doc_id").isNotNull()
                        & (fold(column(labels, "doc_id"), folds) != held))
-    return (ids.select(column(labels, "doc_id").alias("__quality_id")).distinct()
-            .orderBy(F.xxhash64("__quality_id"), "__quality_id").limit(most))
+    ids = ids.select(column(labels, "doc_id").alias("__quality_id")).distinct()
+    if of is not None:
+        ids = ids.join(of.select(F.col("doc_id").alias("__of")), F.col("__quality_id") == F.col("__of"), "left_semi")
+    return ids.orderBy(F.xxhash64("__quality_id"), "__quality_id").limit(most)

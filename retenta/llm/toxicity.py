@@ -156,11 +156,11 @@ def _fit(x: np.ndarray, y: np.ndarray, many: np.ndarray, apart: np.ndarray, step
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held: int = 1,
             max_labelled: int = MAX_LABELLED, penalty: float = PENALTY) -> Model:
     ids = sampled_ids(labels, label, folds, held, max_labelled)
-    marks = (labels.join(F.broadcast(ids), column(labels, "doc_id") == F.col("__quality_id"))
-             .select(F.col("__quality_id").alias("id"), column(labels, label).alias("y")).where("y is not null"))
+    marks = (labels.select(column(labels, "doc_id").alias("id"), column(labels, label).alias("y"))
+             .join(F.broadcast(ids), F.col("id") == F.col("__quality_id"), "left_semi").where("y is not null"))
     marks = marks.groupBy("id").agg(F.avg("y").alias("y")).select("id", (F.col("y") >= 0.5).cast("int").alias("y"))
-    marked = docs.join(F.broadcast(marks), column(docs, "doc_id") == F.col("id")).select(
-        "id", "y", column(docs, "text").alias("text"))
+    marked = docs.select(column(docs, "doc_id").alias("of"), column(docs, "text").alias("text")).join(
+        F.broadcast(marks), F.col("of") == F.col("id")).select("id", "y", "text")
     counts = arrow_map(marked.select("y", "text"), _label_counts, "bucket long, toxic long, clean long")
     counts = counts.groupBy("bucket").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     n1, n0 = marks.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()

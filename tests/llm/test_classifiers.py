@@ -3,6 +3,7 @@
 import pytest
 
 from retenta.llm import network, quality, toxicity
+from retenta.llm.words import Slab
 from tests.llm.common import edge_documents
 
 SF = "/root/testdata/sf0.01"
@@ -43,11 +44,78 @@ def test_accepted_keeps_whole_rows(spark, tables):
     docs, labels = tables
     kept = quality.accepted(docs, labels)
     scored = quality.scores(docs, labels).where("predicted = 1")
-    assert kept.columns == docs.columns and abs(kept.count() - scored.count()) <= 10
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in scored.collect())
     edges = edge_documents(spark)
     assert quality.accepted(edges, labels).columns == edges.columns
 
 
+def test_columns_named_like_the_helpers(spark, tables):
+    docs, labels = (t.limit(150) for t in tables)
+    names = ["id", "y", "keep", "x", "of", "bucket", "row", "fold", "held_out", "score", "__quality_id", "__of"]
+    odd = lambda t: t.selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    for module in (quality, toxicity):
+        want = sorted(map(tuple, module.scores(docs, labels).collect()))
+        assert sorted(map(tuple, module.scores(odd(docs), odd(labels)).collect())) == want
+    kept = quality.accepted(odd(docs), odd(labels))
+    assert kept.columns == odd(docs).columns and kept.count() == quality.accepted(docs, labels).count()
+
+
+def _plain_pool(text, vectors):
+    """A text's numbers, word by word."""
+    import numpy as np
+    slab = Slab([text])
+    w, n = quality._buckets(slab).tolist(), max(1, len(slab.start))
+    mean = sum((vectors[i] for i in w), np.zeros(quality.DIM)) / n
+    pairs = list(zip(w[:-1], w[1:], strict=True))
+    kinds = [int((slab.kind == k).sum()) / n for k in (1, 2, 3)]
+    return [*mean, sum(float(vectors[a] @ vectors[b]) for a, b in pairs) / n, sum(a == b for a, b in pairs) / n, *kinds,
+            sum((slab.end - slab.start).tolist()) / 8 / n, np.log1p(len(w))]
+
+
+def test_pooled_equals_words_one_by_one(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(quality, "PIECE", 7)
+    vectors = np.random.default_rng(1).normal(size=(quality.BUCKETS, quality.DIM)).astype(np.float32)
+    texts = [b"", b"one", b"a b a a, 12 c!", b" ", b"word " * 30, "ünï çödé 日本".encode(), b"x y z " * 5, b""]
+    assert np.allclose(quality.pooled(texts, vectors), [_plain_pool(t, vectors) for t in texts], atol=1e-5)
+
+
+def test_pooling_a_slab_stays_under_its_memory_bound():
+    import tracemalloc
+
+    import numpy as np
+    vectors = np.ones((quality.BUCKETS, quality.DIM), np.float32)
+    texts = [b"ab cd " * 700_000]  # over a million words
+    slab = Slab(texts)
+    _ = slab.hashes()
+    tracemalloc.start()
+    held, make = Slab, quality.Slab
+    try:
+        quality.Slab = lambda _: slab
+        quality.pooled(texts, vectors)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        quality.Slab = make
+        tracemalloc.stop()
+    assert held is make and peak < 100 << 20
+
+
+def test_word_vectors_equal_a_plain_count(spark):
+    import numpy as np
+    docs = spark.createDataFrame([(1, "a b c a b"), (2, None), (3, "c"), (4, "a, b")], "doc_id long, text string").repartition(3)
+    places, signs = quality.index_vectors()
+    want = np.zeros((quality.BUCKETS, quality.DIM))
+    for text in ("a b c a b", "c", "a, b"):
+        w = quality._buckets(Slab([text.encode()])).tolist()
+        for i, word in enumerate(w):
+            for other in (j for j in range(max(0, i - 2), min(len(w), i + 3)) if j != i):
+                for k in range(quality.NONZERO):
+                    want[word, places[w[other], k]] += signs[w[other], k]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-6)
+    assert np.allclose(quality.word_vectors(docs), want, atol=1e-6)
+
+
 def test_temperature_lowers_the_held_log_loss():
     import numpy as np
     rng = np.random.default_rng(1)
