@@ -230,11 +230,15 @@ def q_filter_best_rank(spark, sf):
     "CAST(split_part(grp, '|', 2) AS INTEGER) AS fold, CASE WHEN auc >= 0.5 THEN 'development' ELSE 'archived' END "
     "AS tag FROM e_auc) WHERE tag = 'development' GROUP BY name", CV_CTES))
 def q_latest_version(spark, sf):
-    """Model versions = (candidate, fold) fits tagged by their AUC; latest development version per name."""
-    versions = roc_auc(candidate_scores(spark, sf), "y", "s", ["name", "fold"]).select(
-        "name", (F.col("fold") + 1).alias("version"),
-        F.when(F.col("auc") >= 0.5, "development").otherwise("archived").alias("tag"))
-    return versions.where(F.col("tag") == "development").groupBy("name").agg(F.max("version").alias("version"))
+    """Each (candidate, fold) fit is registered as a version, tagged by its AUC; the table then gives
+    the latest development version per name."""
+    from retenta.session import fresh_path
+    from retenta.sources.versions import latest_versions, register_version
+    root = fresh_path(spark, "model-registry")
+    fits = roc_auc(candidate_scores(spark, sf), "y", "s", ["name", "fold"]).orderBy("name", "fold")
+    for r in fits.collect():  # a row a candidate and fold
+        register_version(spark, root, r["name"], "development" if r["auc"] >= 0.5 else "archived", root, {"auc": r["auc"]}, f"fold{r['fold']}")
+    return latest_versions(spark, root)
 
 
 # ---- second label / score pair: document quality against document length -----------------------

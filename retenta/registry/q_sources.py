@@ -10,7 +10,7 @@ from retenta.registry import register
 from retenta.registry.common import clients, requests
 from retenta.registry.sql_standins import with_standins
 from retenta.sources import events as ev
-from retenta.sources.io import read_clients_csv, write_clients_csv
+from retenta.sources.io import read_clients_csv, save_by_month, table_joined_months, table_months, write_clients_csv
 from retenta.session import fresh_path
 
 ALL_COLS = ", ".join(CLIENT_COLUMNS)
@@ -57,6 +57,40 @@ def q_filter_month_eq(spark, sf):
     return requests(spark, sf).where(F.col(MONTH).cast("string") == F.lit("200012"))
 
 
+def _saved_requests(spark, sf):
+    """The request log as a catalog table partitioned by month."""
+    import uuid
+    name = f"retenta_requests_{uuid.uuid4().hex}"
+    save_by_month(requests(spark, sf), name, fresh_path(spark, "catalog-requests"))
+    return name
+
+
+@register("catalog_scan_months", with_standins("SELECT * FROM requerimientos WHERE CODMES BETWEEN 200011 AND 200101"))
+def q_catalog_scan_months(spark, sf):
+    """A month range of a stored table partitioned by month, by bound parameters."""
+    return table_months(spark, _saved_requests(spark, sf), 200011, 200101).select(*requests(spark, sf).columns)
+
+
+@register("catalog_scan_joined_months", with_standins(
+    "SELECT * FROM requerimientos WHERE CODMES IN (SELECT CODMES FROM requerimientos GROUP BY CODMES HAVING CODMES % 2 = 0)"))
+def q_catalog_scan_joined_months(spark, sf):
+    """The months to read stand in a table: dynamic partition pruning of the stored request log."""
+    wanted = requests(spark, sf).select(MONTH).distinct().where(F.col(MONTH) % 2 == 0)
+    return table_joined_months(spark, _saved_requests(spark, sf), wanted).select(*requests(spark, sf).columns)
+
+
+@register("catalog_scan_client_month", with_standins(f"SELECT {ALL_COLS} FROM clientes"))
+def q_catalog_scan_client_month(spark, sf):
+    """Snapshots of three months stored by month; one month read, with its safe-cast projection."""
+    import uuid
+    from retenta.sources.standins import clients as build
+    from retenta.registry.common import tables
+    t, name = tables(spark, sf), f"retenta_clients_{uuid.uuid4().hex}"
+    months = build(t, 200012).unionByName(build(t, 200101)).unionByName(build(t, 200102))
+    save_by_month(months, name, fresh_path(spark, "catalog-clients"))
+    return table_months(spark, name, 200102, 200102).select(*CLIENT_COLUMNS)
+
+
 # Raw text columns with junk: '' every 7th key, 'x'-suffixed every 13th,
 # a decimal every 17th; the rest is the integer text.
 def _text(c: str, k: str = ID):

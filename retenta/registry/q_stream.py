@@ -3,6 +3,8 @@ checked against the SQL of its batch twin."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from retenta.functions.features import engineer
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, scores
@@ -95,18 +97,98 @@ def q_stream_sliding_activity(spark, sf):
     return jobs.latest_by_key(spark, f"{base}/out", ["user_id", "window_start"])
 
 
-@register("session_activity", """
+def _feed(spark, rows, time, path, slices=4):
+    """Rows as a growing folder: ``slices`` writes one after another in the order of ``time``, as a
+    source would deliver them. Yields after each write, so a job can run, stop and go on."""
+    lo, hi = rows.agg(F.min(time).cast("timestamp").cast("double"), F.max(time).cast("timestamp").cast("double")).first()
+    place = F.coalesce(F.floor((F.col(time).cast("timestamp").cast("double") - F.lit(lo)) * slices / F.lit(max(hi - lo, 1.0))), F.lit(0))
+    for k in range(slices):
+        part = rows.where(F.least(place, F.lit(slices - 1)) == k)
+        part.write.mode("append").parquet(path)
+        yield k
+
+
+def _heartbeat(spark, rows, time, path, key):
+    """One row of no client (key -1; a null would be dropped before a join), long after the others: it
+    moves the watermark past all of them, and never comes out itself."""
+    late = rows.agg(F.max(time).alias(time)).select(F.expr(f"{time} + INTERVAL 400 DAYS").alias(time))
+    late.select(*[F.col(time) if c == time else F.lit(-1 if c == key else None).cast(t).alias(c) for c, t in rows.dtypes]).coalesce(1).write.mode("append").parquet(path)
+
+
+def _in_two_runs(spark, rows, job, base, time="ts"):
+    """``job`` over the rows as they arrive, stopped half way and restarted from its checkpoint; it
+    takes a micro-batch a file. Returns what it appended."""
+    def run():
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{base}/in")
+        jobs.write_append(job(stream), f"{base}/out", f"{base}/ck")
+    for k in _feed(spark, rows, time, f"{base}/in"):
+        if k == 1:
+            run()
+    run()
+    _heartbeat(spark, rows, time, f"{base}/in", "user_id")
+    run()
+    return spark.read.parquet(f"{base}/out")
+
+
+_SESSIONS_SQL = """
 WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
 g AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
       OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
        strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS n_events
-FROM g GROUP BY user_id, sid""")
+FROM g GROUP BY user_id, sid"""
+
+
+@register("session_activity", _SESSIONS_SQL)
 def q_session_activity(spark, sf):
     """ST4 session part: 30-minute inactivity sessions per client (batch form of the stream job)."""
     return jobs.session_activity(read_table(spark, sf, "events"))
 
 
+@register("stream_session_activity", _SESSIONS_SQL)
+def q_stream_session_activity(spark, sf):
+    """ST4: sessions on a stream that arrives in several batches, stopped and restarted half way."""
+    events = read_table(spark, sf, "events").select("user_id", "ts")
+    return _in_two_runs(spark, events, jobs.session_activity, _run_dir(spark, "sessions"))
+
+
+@register("stream_exact_types", """
+SELECT user_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_events,
+       count(DISTINCT event_type || '-' || CAST(event_id % 12 AS VARCHAR)) AS n_types
+FROM events GROUP BY 1, 2""")
+def q_stream_exact_types(spark, sf):
+    """ST2: exact distinct types per client and day on a stream; types made finer, so there are dozens."""
+    fine = F.concat("event_type", F.lit("-"), (F.col("event_id") % 12).cast("string"))
+    events = read_table(spark, sf, "events").select("user_id", "ts", fine.alias("event_type"))
+    return _in_two_runs(spark, events, jobs.request_windows_exact, _run_dir(spark, "exact_types"))
+
+
+_JOINED_SQL = """
+SELECT k.ID_CORRELATIVO, round(e.PROM_SDO_ACTIVO_6M, 6) AS PROM_SDO_ACTIVO_6M, count(r.ID_CORRELATIVO) AS total_requerimientos,
+       count(DISTINCT r.TIPO_REQUERIMIENTO2) AS nro_tipos_requerimiento, count(DISTINCT r.DICTAMEN) AS nro_dictamenes,
+       count(DISTINCT r.PRODUCTO_SERVICIO_2) AS nro_productos_servicios, count(DISTINCT r.SUBMOTIVO_2) AS nro_submotivos
+FROM clientes k JOIN eng e USING (ID_CORRELATIVO)
+LEFT JOIN requerimientos r ON r.ID_CORRELATIVO = k.ID_CORRELATIVO GROUP BY 1, 2"""
+
+
+@register("stream_client_requests", with_standins(_JOINED_SQL, _eng_cte()))
+def q_stream_client_requests(spark, sf):
+    """ST1 from two streams: clients' events and their requests of the months before, joined in event time."""
+    base = _run_dir(spark, "client_requests")
+    month = lambda c: F.to_timestamp(F.concat(F.col(c).cast("string"), F.lit("01")), "yyyyMMdd")
+    c = clients(spark, sf).withColumn("client_ts", month("CODMES") + F.expr("INTERVAL 5 DAYS"))
+    r = requests(spark, sf).withColumn("request_ts", month("CODMES"))
+    for rows, time, name in ((r, "request_ts", "requests"), (c, "client_ts", "clients")):
+        for _ in _feed(spark, rows, time, f"{base}/{name}", slices=2):
+            pass
+        _heartbeat(spark, rows, time, f"{base}/{name}", "ID_CORRELATIVO")
+    read = lambda rows, name: spark.readStream.schema(rows.schema).parquet(f"{base}/{name}")
+    out = engineer(jobs.client_requests(read(c, "clients"), read(r, "requests")))
+    jobs.write_append(out.select("ID_CORRELATIVO", "PROM_SDO_ACTIVO_6M", "total_requerimientos", "nro_tipos_requerimiento", "nro_dictamenes",
+                                 "nro_productos_servicios", "nro_submotivos"), f"{base}/out", f"{base}/ck")
+    return rounded(spark.read.parquet(f"{base}/out"))
+
+
 @register("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def q_stream_dedup(spark, sf):
     """Every event is delivered twice (two readers of the same files); replays are dropped."""

@@ -7,6 +7,10 @@
   The same functions run on a static DataFrame, which is the batch twin.
 * ``request_windows`` / ``sliding_activity``: per-client counts per
   tumbling / sliding event-time window with a watermark.
+* ``request_windows_exact``: the same counts with exact distinct types, by two
+  aggregations in a row; ``session_activity``: sessions that merge as rows arrive;
+  ``client_requests``: client events joined in event time with a stream of requests.
+  All three emit a row once, when the watermark has passed it (append mode).
 * ``dedup_events``: replayed events dropped with
   ``dropDuplicatesWithinWatermark``.
 * ``upsert_by_month``: ``foreachBatch`` that merges each micro-batch into the
@@ -104,8 +108,8 @@ def _utc_text(c) -> Column:
 
 
 def request_windows(events: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    """Events per client per tumbling window: count and approximate distinct types
-    (exact distinct is not allowed on streams)."""
+    """Events per client per tumbling window: count and approximate distinct types, updated as rows
+    arrive (``request_windows_exact`` counts them exactly, once a window closes)."""
     return (event_time(events).withWatermark("ts", watermark)
             .groupBy(F.col("user_id"), F.window("ts", window).alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"), F.approx_count_distinct("event_type").alias("n_types"))
@@ -124,6 +128,8 @@ def sliding_activity(events: DataFrame, length: str = "10 days", slide: str = "5
 
 
 def session_activity(events: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """Sessions of a client: rows less than ``gap`` apart. On a stream a session grows and merges with
+    others while rows arrive, and comes out once the watermark has passed its end."""
     return (event_time(events).withWatermark("ts", watermark)
             .groupBy("user_id", F.session_window("ts", gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("n_events"))
@@ -131,6 +137,36 @@ def session_activity(events: DataFrame, gap: str = "30 minutes", watermark: str
                     _utc_text(F.col("s.end")).alias("session_end"), "n_events"))
 
 
+def request_windows_exact(events: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
+    """Events per client per tumbling window: count and exact distinct types. Two aggregations in a
+    row: counts by (client, window, type), then their number and sum by (client, window). Rows
+    come out once, when the watermark closes the window (append mode); later rows are dropped. The
+    state of a window is a row a client and type, whatever the number of events."""
+    by_type = (event_time(events).withWatermark("ts", watermark)
+               .groupBy("user_id", "event_type", F.window("ts", window).alias("w")).agg(F.count(F.lit(1)).alias("n")))
+    return (by_type.groupBy("user_id", F.window(F.window_time("w"), window).alias("w"))
+            .agg(F.sum("n").alias("n_events"), F.count("event_type").alias("n_types"))
+            .select("user_id", _utc_text(F.col("w.start")).alias("window_start"), "n_events", "n_types"))
+
+
+def client_requests(clients: DataFrame, requests: DataFrame, span: str = "200 days", watermark: str = "1 hour") -> DataFrame:
+    """Each client event of one stream (client columns, ``client_ts``) with the aggregates of its client's
+    requests in another (request columns, ``request_ts``) of the ``span`` before it. An outer join in
+    event time: a client without requests comes out, with zeros, once both watermarks have passed
+    it. The aggregates of a client are a count and sets of category values, so a client with
+    any number of requests keeps a small state after the join. Append mode."""
+    c = clients.withWatermark("client_ts", watermark)
+    r = requests.select(F.col(ID).alias("__rid"), "request_ts", *[F.col(f).alias(f"__{f}") for f, _ in DISTINCT_OUTPUTS])
+    near = (F.col(ID) == F.col("__rid")) & (F.col("request_ts") <= F.col("client_ts")) & (
+        F.col("request_ts") >= F.col("client_ts") - F.expr(f"INTERVAL {span}"))
+    joined = c.join(r.withWatermark("request_ts", watermark), near, "leftOuter")
+    own = [n for n in clients.columns if n != "client_ts"]
+    grouped = joined.groupBy(F.col(ID).alias("__id"), F.window("client_ts", "1 hour").alias("__w")).agg(
+        F.any_value(F.struct(*own)).alias("__c"), F.count("__rid").alias(TOTAL),
+        *[F.size(F.collect_set(f"__{f}")).cast("bigint").alias(name) for f, name in DISTINCT_OUTPUTS])
+    return grouped.select("__c.*", TOTAL, *[name for _, name in DISTINCT_OUTPUTS])
+
+
 def dedup_events(events: DataFrame, key: Sequence[str] = ("event_id",), watermark: str = "1 hour") -> DataFrame:
     return event_time(events).withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(key))
 
