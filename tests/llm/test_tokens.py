@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from hypothesis import given, settings, strategies as st
 import pytest
 from tokenizers import Tokenizer
 
@@ -103,3 +104,15 @@ def test_a_part_past_one_batch(tmp_path):
     reader = arrow_store.Reader(str(tmp_path), "part-000000")
     assert (reader.ids(0, 1000) == ids).all() and (reader.ids(63, 2) == [63, 64]).all()
     assert isinstance(reader.file.get_batch(0).column("ids"), pa.FixedSizeListArray)
+
+
+@given(st.lists(st.text(st.sampled_from("abZI9'.,!&<|>é́\x1c-_ "), max_size=9), max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_words_apart_encode_as_the_library_does(words):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    text = " ".join([*words, "<|endoftext|>", "<|ENDOFTEXT|>,", "It's,", "we'LL!?", "H̱."])
+    known = tokenizer.WordIds(path, "<u2", limit=20)
+    known.learn(["some", "words"] * 20)
+    pieces = text.split(" ")
+    known.learn(pieces)
+    assert np.frombuffer(known.ids(pieces), "<u2").tolist() == tokenizer.load(path).encode(text, add_special_tokens=False).ids
