@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 import pytest
 from tokenizers import Tokenizer
 
-from retenta.llm import arrow_store, bpe
+from retenta.llm import arrow_store, bpe, tokenizer
 from retenta.session import scratch_path
 from tests.llm.common import EDGES, edge_documents
 
