@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 from collections.abc import Iterable
 
@@ -61,24 +60,10 @@ def encode(path: str, texts: list[str], dtype: str) -> list[bytes]:
     return [own[t] if t in own else next(found) for t in texts]
 
 
-#: ASCII signs that end a word and are a piece of their own: all but the apostrophe, which may belong to the word.
-SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-
-
-def parted(word: str) -> tuple[str, str]:
-    """A word as a vocabulary of lower-case words, signs apart, takes it: its core, and the signs after
-    it. Words beyond ASCII, and those that may hold a special token, stay as they are."""
-    if not word.isascii() or "<|" in word:
-        return word, ""
-    word = word.lower()
-    core = word.rstrip(SIGNS)
-    return (core, word[len(core):]) if core and core[-1].isalnum() else (word, "")
-
-
 class WordIds(dict):
-    """Ids of words as packed numbers, each encoded when first met, from its core and the signs after
-    it; the older half goes when it holds ``limit`` words (about 250 bytes each). A Python worker
-    keeps one for all its tasks."""
+    """Ids of text pieces as packed numbers, each piece encoded when first met; emptied
+    when it holds ``limit`` pieces (about 250 bytes each). A Python worker keeps one for all
+    its tasks."""
 
     _known: dict[tuple[str, str], WordIds] = {}
 
@@ -92,13 +77,9 @@ class WordIds(dict):
 
     def learn(self, pieces: Iterable[str]) -> None:
         if len(self) > self.limit:
-            for word in list(itertools.islice(self, len(self) // 2)):
-                del self[word]
-        words = {*pieces}.difference(self)
-        parts = {w: parted(w) for w in words}
-        new = list({p for pair in parts.values() for p in pair}.difference(self))
+            self.clear()
+        new = list({*pieces}.difference(self))
         self.update(zip(new, encode(self.path, new, self.dtype), strict=True))
-        self.update((w, self[core] + self[signs]) for w, (core, signs) in parts.items())
 
     def ids(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
