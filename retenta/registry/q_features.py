@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from retenta.functions.features import ENGINEERED, FEATURE_SPEC, engineer
 from retenta.functions.scalar import fill_with_value, map_values, replace_value, row_mean_skipna, row_sum_skipna
-from retenta.functions.schema import ID, lag_cols
+from retenta.functions.schema import CLIENT_COLUMNS, ID, STRING_COLUMNS, lag_cols
 from retenta.operators.requests import DISTINCT_OUTPUTS, TOTAL, categories_dict, learn_categories, request_profile
 from retenta.plans.prepare import clean_clients, clean_requests
 from retenta.registry import register
@@ -103,12 +103,10 @@ def q_fill_with_value(spark, sf):
                     fill_with_value("SDO_ACTIVO_MENOS5", 0).cast("bigint").alias("SDO_ACTIVO_MENOS5"))
 
 
-@register("fill_zero_all", with_standins(
-    "SELECT ID_CORRELATIVO, coalesce(EDAD, 0) AS EDAD, coalesce(ANTIGUEDAD, 0) AS ANTIGUEDAD, "
-    + ", ".join(f"coalesce(SDO_ACTIVO_MENOS{i}, 0) AS SDO_ACTIVO_MENOS{i}" for i in range(6))
-    + ", RANG_INGRESO FROM clientes"))
+@register("fill_zero_all", with_standins("SELECT " + ", ".join(
+    c if c in STRING_COLUMNS else f"coalesce({c}, 0) AS {c}" for c in CLIENT_COLUMNS) + " FROM clientes"))
 def q_fill_zero_all(spark, sf):
-    c = clients(spark, sf).select(ID, "EDAD", "ANTIGUEDAD", *lag_cols("SDO_ACTIVO"), "RANG_INGRESO")
+    c = clients(spark, sf).select(*CLIENT_COLUMNS)
     return c.na.fill(0)
 
 

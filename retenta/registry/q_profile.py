@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, LAG_MEASURES
+from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, LAG_MEASURES, REQUEST_COLUMNS, STRING_COLUMNS
 from retenta.operators.lags import lag_pivot, lag_unpivot, lag_variation, month_lag
 from retenta.operators.profiling import (class_balance, class_weight_balanced, correlation_matrix, null_percent,
                                          profile_numeric, profile_sketch, profile_top_values)
 from retenta.registry import register
-from retenta.registry.common import clients, rounded, scores, tables
+from retenta.registry.common import clients, requests, rounded, scores, tables
 from retenta.registry.sql_standins import with_standins
 
-_NUM = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "SDO_ACTIVO_MENOS5", "NRO_ACCES_CANAL1_MENOS0",
-        "NRO_ENTID_SSFF_MENOS0", "FLG_SEGURO_MENOS0"]
+_NUM = [c for c in CLIENT_COLUMNS if c not in STRING_COLUMNS]
 
 
 @register("null_percent", with_standins(
-    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) "
-                       f"AS null_pct FROM clientes" for c in CLIENT_COLUMNS)))
+    " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) "
+                       f"AS null_pct FROM {t}" for t, names in (("clientes", CLIENT_COLUMNS), ("requerimientos", REQUEST_COLUMNS)) for c in names)))
 def q_null_percent(spark, sf):
-    return rounded(null_percent(clients(spark, sf)))
+    """Every column of both tables."""
+    of = lambda df, name: null_percent(df).withColumn("table", F.lit(name))
+    return rounded(of(clients(spark, sf), "clientes").unionByName(of(requests(spark, sf).select(*REQUEST_COLUMNS), "requerimientos")))
 
 
 @register("class_balance", with_standins(
@@ -51,8 +52,7 @@ def q_profile_sketch(spark, sf):
     return profile_sketch(clients(spark, sf), _NUM)
 
 
-_TOP = ["RANG_INGRESO", "FLAG_LIMA_PROVINCIA", "RANG_SDO_PASIVO_MENOS0", "RANG_NRO_PRODUCTOS_MENOS0", "FLG_NOMINA",
-        "NRO_ENTID_SSFF_MENOS0"]
+_TOP = [c for c in CLIENT_COLUMNS if c != ID]
 
 
 @register("profile_top_values", with_standins(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from retenta.functions.schema import ID, LABEL
+from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL
 from retenta.operators.split import (ids_distinct, ids_intersect, keep_ids, kfold_assign, split_ids,
                                      union_splits)
 from retenta.registry import register
@@ -74,10 +74,19 @@ def q_join_semi_common_ids(spark, sf):
 
 
 @register("sink_train_test", with_standins(
-    "SELECT k.ID_CORRELATIVO, k.ATTRITION, k.EDAD, s.split FROM clientes k JOIN split s USING (ID_CORRELATIVO)",
-    SPLIT_CTES))
+    "SELECT " + ", ".join(f"k.{c}" for c in CLIENT_COLUMNS) + ", s.split FROM clientes k JOIN split s USING (ID_CORRELATIVO)", SPLIT_CTES))
 def q_sink_train_test(spark, sf):
     *_, s = split_tables(spark, sf)
     path = fresh_path(spark, "splits")
-    write_split_tables(clients(spark, sf).select(ID, LABEL, "EDAD"), requests(spark, sf), s, path)
-    return spark.read.parquet(f"{path}/clients").select(ID, LABEL, "EDAD", "split")
+    write_split_tables(clients(spark, sf), requests(spark, sf), s, path)
+    return spark.read.parquet(f"{path}/clients").select(*CLIENT_COLUMNS, "split")
+
+
+@register("sink_train_test_requests", with_standins(
+    "SELECT r.*, s.split FROM requerimientos r JOIN split s USING (ID_CORRELATIVO)", SPLIT_CTES))
+def q_sink_train_test_requests(spark, sf):
+    """The request side of the split tables, read back whole."""
+    *_, s = split_tables(spark, sf)
+    path = fresh_path(spark, "splits")
+    write_split_tables(clients(spark, sf), requests(spark, sf), s, path)
+    return spark.read.parquet(f"{path}/requests").select(*requests(spark, sf).columns, "split")
