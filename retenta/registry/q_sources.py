@@ -179,9 +179,9 @@ def q_empty_to_null(spark, sf):
 
 
 @register("rename_upper", with_standins(
-    "SELECT ID_CORRELATIVO, CODMES, EDAD, RANG_INGRESO FROM clientes"))
+    f"SELECT {ALL_COLS} FROM clientes"))
 def q_rename_upper(spark, sf):
-    lower = clients(spark, sf).select(*[F.col(c).alias(c.lower()) for c in (ID, MONTH, "EDAD", "RANG_INGRESO")])
+    lower = clients(spark, sf).select(*[F.col(c).alias(c.lower()) for c in CLIENT_COLUMNS])
     return rename_upper(lower)
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from retenta.functions.schema import ID, LABEL, MONTH
+from retenta.functions.schema import CLIENT_COLUMNS, ID, LABEL, MONTH, STRING_COLUMNS
 from retenta.operators.encoding import apply_label_encoder, fit_label_encoder, recode
 from retenta.operators.imputation import fit_imputation, fit_table
-from retenta.operators.scaling import apply_standardizer, fit_standardizer
+from retenta.operators.scaling import NOT_SCALED, apply_standardizer, fit_standardizer
 from retenta.plans.prepare import STATE_TABLES, PreparedState, apply_prepare, clean_clients, clean_requests, fit_prepare
 from retenta.registry import register
 from retenta.registry.common import clients, requests, rounded, split_tables
@@ -87,16 +87,15 @@ def q_label_encode_apply(spark, sf):
     return apply_label_encoder(r.select(ID, *ENC_COLS), enc, ENC_COLS, on_unseen="error")
 
 
-_SCALE_COLS = ["EDAD", "SDO_ACTIVO_MENOS0", "NRO_ACCES_CANAL1_MENOS0", "FLG_NOMINA", "CODMES_COPY"]
-_SCALE_SRC = ("SELECT ID_CORRELATIVO, coalesce(EDAD, 0) AS EDAD, coalesce(SDO_ACTIVO_MENOS0, 0) AS SDO_ACTIVO_MENOS0, "
-              "coalesce(NRO_ACCES_CANAL1_MENOS0, 0) AS NRO_ACCES_CANAL1_MENOS0, FLG_NOMINA, CODMES AS CODMES_COPY "
-              "FROM clientes")
+# every number of the clients, and the month as a constant (no deviation)
+_SCALE_COLS = [c for c in CLIENT_COLUMNS if c not in STRING_COLUMNS and c not in NOT_SCALED] + ["CODMES_COPY"]
+_SCALE_SRC = ("SELECT ID_CORRELATIVO, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _SCALE_COLS[:-1])
+              + ", CODMES AS CODMES_COPY FROM clientes")
 
 
 def _scale_src(spark, sf):
     c = clients(spark, sf)
-    return c.select(ID, "EDAD", "SDO_ACTIVO_MENOS0", "NRO_ACCES_CANAL1_MENOS0", "FLG_NOMINA",
-                    F.col(MONTH).alias("CODMES_COPY")).na.fill(0)
+    return c.select(ID, *_SCALE_COLS[:-1], F.col(MONTH).alias("CODMES_COPY")).na.fill(0)
 
 
 @register("fit_standardizer", with_standins(
