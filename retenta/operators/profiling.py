@@ -4,8 +4,10 @@ returned in long form."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 
@@ -72,13 +74,40 @@ def profile_sketch(df: DataFrame, columns: Sequence[str], accuracy: int = 10000)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation for every pair a < b (list order), long form."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    row = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("corr"))
-                    for i, (a, b) in enumerate(pairs)])
-    return row.select(F.inline(arr))
+    """Pearson correlation for every pair a < b (list order), long form; a pair takes the rows where
+    neither value is null. Null for a pair without rows or with a constant column.
+
+    A task adds its rows to products of fixed size (columns x columns, of values less the column's
+    mean, so that sums don't cancel); the pairs' sums are then added by one aggregate. Any number
+    of columns is one pass after the means, and what travels doesn't grow with the rows.
+    """
+    names = list(columns)
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    # one number a column
+    means = [m or 0.0 for m in values.agg(*[F.avg(x) for x in values.columns]).first()]
+    i, j = np.triu_indices(len(names), 1)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums, squares, products = (np.zeros((len(means), len(means))) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            held = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            x = np.where(held > 0, x - means, 0.0)
+            n += held.T @ held
+            sums += x.T @ held
+            squares += (x * x).T @ held
+            products += x.T @ x
+        sides = (i, j, n[i, j].astype(np.int64), sums[i, j], sums[j, i], squares[i, j], squares[j, i], products[i, j])
+        yield pa.RecordBatch.from_arrays([pa.array(s) for s in sides], names=["i", "j", "n", "sa", "sb", "qa", "qb", "p"])
+
+    parts = values.mapInArrow(summed, "i long, j long, n long, sa double, sb double, qa double, qb double, p double")
+    pairs = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "p")])
+    spread = lambda q, s: F.col("n") * F.col(q) - F.col(s) * F.col(s)
+    # a spread this small beside its terms is rounding
+    varies = lambda q, s: spread(q, s) > F.col("n") * F.col(q) * 1e-12
+    corr = (F.col("n") * F.col("p") - F.col("sa") * F.col("sb")) / F.sqrt(spread("qa", "sa")) / F.sqrt(spread("qb", "sb"))
+    name = lambda k: F.element_at(F.array(*[F.lit(c) for c in names]), (F.col(k) + 1).cast("int"))
+    return pairs.select(name("i").alias("a"), name("j").alias("b"), F.when(varies("qa", "sa") & varies("qb", "sb"), corr).alias("corr"))
 
 
 def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> DataFrame:

@@ -65,14 +65,16 @@ def q_profile_top_values(spark, sf):
     return profile_top_values(clients(spark, sf), _TOP, 5)
 
 
-_CORR = ["EDAD", "ANTIGUEDAD", "SDO_ACTIVO_MENOS0", "NRO_ENTID_SSFF_MENOS0", "y_prob", "ATTRITION"]
+_CORR = [*_NUM, "y_prob"]
 
 
 @register("correlation_matrix", with_standins(
-    " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST(k.{a} AS DOUBLE), CAST(k.{b} AS DOUBLE)), 6) "
-                       f"AS corr FROM (SELECT c.*, s.y_prob FROM clientes c JOIN scores s USING (ID_CORRELATIVO)) k"
-                       for i, a in enumerate(_CORR) for b in _CORR[i + 1:])))
+    "SELECT a, b, CASE WHEN isfinite(r) THEN round(r, 6) + 0.0 END AS corr FROM (SELECT unnest(["
+    + ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))}}"
+                for i, a in enumerate(_CORR) for b in _CORR[i + 1:])
+    + "], recursive := true) FROM (SELECT c.*, s.y_prob FROM clientes c JOIN scores s USING (ID_CORRELATIVO)))"))
 def q_correlation_matrix(spark, sf):
+    """A14: every pair of the numeric client columns and the score."""
     k = clients(spark, sf).join(scores(spark, sf).select(ID, "y_prob"), ID)
     return rounded(correlation_matrix(k, _CORR))
 
