@@ -13,7 +13,7 @@ attempt's bytes are the same because the rows are sorted by all they hold. The i
 of the parts, one row each, give the global starts.
 
 Encoding: the tokenizer drops white space and no token spans it, so words between blanks and
-line ends are encoded apart and remembered within a task.
+line ends are encoded apart and remembered by the worker (``tokenizer.WordIds``).
 
 Edge cases: null texts are empty and hold the end id alone; null doc_ids come first; rows of
 one doc_id are ordered by the hash of their text, then by the text; an empty table gives
@@ -30,12 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from retenta.llm import tokenizer
-from retenta.llm.frames import arrow_map, column, partitions
+from retenta.llm.frames import SLAB, arrow_map, column, partitions
 from retenta.session import materialize, scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -122,6 +123,14 @@ class Reader:
         return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
 
+def _slabs(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices that hold about ``SLAB`` bytes of text (one text at least)."""
+    of = pc.binary_length(texts).to_numpy().cumsum(dtype=np.int64) // SLAB
+    edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+    for start, end in itertools.pairwise(edges):
+        yield texts.slice(start, end - start)
+
+
 def _name(part: int) -> str:
     return f"part-{part:06d}"
 
@@ -143,13 +152,12 @@ def write_tokens(docs: DataFrame, uri: str, path: str, end_id: int = END_ID, seq
                 continue
             out = out or _Part(uri, _name(part), dtype, sequence, batch)
             counts = []
-            for at in range(0, rows.num_rows, 256):
-                texts = [text.replace("\n", " ").split(" ") for text in rows.column("text").slice(at, 256).to_pylist()]
-                words.learn(itertools.chain.from_iterable(texts))
-                for pieces in texts:
-                    ids = words.ids(pieces) + close
-                    out.add(ids)
-                    counts.append(len(ids) // len(close))
+            for texts in _slabs(rows.column("text")):
+                ids, n = words.of_texts(texts)
+                ids, ends = ids.tobytes(), n.cumsum() * len(close)
+                for a, b in zip((ends - n * len(close)).tolist(), ends.tolist(), strict=True):
+                    out.add(ids[a:b] + close)
+                counts += (n + 1).tolist()
             ends = np.cumsum(counts)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(np.full(len(counts), part, np.int32)), pa.array(np.arange(place, place + len(counts))),

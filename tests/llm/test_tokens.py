@@ -116,3 +116,29 @@ def test_words_apart_encode_as_the_library_does(words):
     pieces = text.split(" ")
     known.learn(pieces)
     assert np.frombuffer(known.ids(pieces), "<u2").tolist() == tokenizer.load(path).encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_are_encoded_once_and_the_table_is_never_walked(monkeypatch):
+    path = public_tokenizers.path(arrow_store.VOCABULARY)
+    tok, asked = tokenizer.load(path), []
+    cores = tokenizer.encode_cores
+    monkeypatch.setattr(tokenizer, "encode_cores", lambda p, c, d: asked.extend(c) or cores(p, c, d))
+
+    class Table(tokenizer.WordIds):
+        def __iter__(self):
+            raise AssertionError("walked")
+
+    known = Table(path, "<u2")
+    texts = ["Éclair éclair, (ÉCLAIR)!  don't\nstop", "", None, "STOP's <|endoftext|>x <|ENDOFTEXT|> ﬁ", "a\x85b ß÷ẞ 12 été."]
+    for _ in range(2):
+        ids, n = known.of_texts(pa.array(["" if t is None else t for t in texts]))
+        want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(want, []) and n.tolist() == list(map(len, want))
+    assert len(asked) == len(set(asked)) and asked.count("éclair") == 1 and asked.count("stop") == 1
+
+
+def test_slabs_hold_every_text_once():
+    texts = pa.array(["x" * n for n in (0, 5 << 20, 1, 3 << 20, 2 << 20, 0, 9 << 20, 7)])
+    slabs = list(arrow_store._slabs(texts))
+    assert pa.concat_arrays(slabs).equals(texts) and len(slabs) > 2
+    assert [len(s) for s in arrow_store._slabs(pa.array(["a", ""]))] == [2]
